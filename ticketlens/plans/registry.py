@@ -598,3 +598,355 @@ def q_top_terms_per_language(spark, d):
     from .flagship import top_terms_per_language
 
     return top_terms_per_language(spark, d)
+
+
+# ------------------------------------------------------------ scoring (J4, M8-9)
+
+from ..operators import runs as rn  # noqa: E402
+from ..operators import scoring as sc  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+# The classes scored by the coefficient table (alphabetical
+# language codes of the documents table).
+SCORE_LABELS = ("de", "en", "es", "fr")
+
+
+def _linear_scores_wide(spark, d):
+    tf, idf = _idf(spark, d)
+    weights = fe.tfidf_l2(tf, idf)
+    coefs = sc.hashed_coefficients(idf.select("term"), len(SCORE_LABELS))
+    ids = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    return sc.linear_scores_wide(weights, coefs, ids, sc.hashed_intercepts(len(SCORE_LABELS)))
+
+
+def _scores_sql() -> str:
+    k = len(SCORE_LABELS)
+    classes = ", ".join(f"({c}, {sc.hashed_intercepts(k)[c]})" for c in range(k))
+    return f"""{S.tf_ctes()},
+cls AS (SELECT * FROM (VALUES {classes}) AS c(class_id, intercept)),
+coef AS (SELECT idf.term, cls.class_id,
+                ('0x' || substr(md5(idf.term || ':' || CAST(cls.class_id AS VARCHAR)), 1, 6))::BIGINT / 16777216.0 - 0.5 AS coef
+         FROM idf, cls),
+sums AS (SELECT w.id, coef.class_id, sum(w.weight * coef.coef) AS s FROM tfidf w JOIN coef USING (term) GROUP BY ALL),
+scores AS (SELECT d.doc_id AS id, cls.class_id, coalesce(sums.s, 0.0) + cls.intercept AS score
+           FROM documents d CROSS JOIN cls LEFT JOIN sums ON sums.id = d.doc_id AND sums.class_id = cls.class_id)"""
+
+
+@register(
+    "linear_scores",
+    lambda: f"WITH {_scores_sql()} SELECT id, CAST(class_id AS INTEGER) AS class_id, round(score, 6) AS score FROM scores",
+)
+def q_linear_scores(spark, d):
+    return sc.scores_long(_linear_scores_wide(spark, d))
+
+
+def _top2_sql() -> str:
+    names = S.str_list(SCORE_LABELS)
+    return f"""WITH {_scores_sql()},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, class_id DESC) AS r FROM scores)
+SELECT b.id, list_extract({names}, b.class_id + 1) AS label, list_extract({names}, s.class_id + 1) AS runner_up_label,
+       round(b.score - s.score, 6) AS margin_gap
+FROM ranked b JOIN ranked s ON b.id = s.id AND b.r = 1 AND s.r = 2"""
+
+
+@register("top2_margin", _top2_sql)
+def q_top2_margin(spark, d):
+    wide = _linear_scores_wide(spark, d)
+    t = sc.top2(F.col("scores"), SCORE_LABELS)
+    return wide.select("id", t["label"].alias("label"), t["runner_up_label"].alias("runner_up_label"), t["margin_gap"].alias("margin_gap"))
+
+
+# ------------------------------------------------------------- runs (R4-R6)
+
+# The candidate runs — one task, five prediction rules, each
+# with its feature-space size.
+RUN_RULES = (0, 1, 2, 3, 4)
+RUN_TASK = "priority"
+
+
+def _run_id(rule: int) -> str:
+    return f"{RUN_TASK}-rule-{rule}"
+
+
+def _feature_columns(rule: int) -> int:
+    return 1000 * (rule % 3 + 1)
+
+
+def _run_outcomes(spark, d):
+    folded = V.order_folds(spark, d).withColumn("y", V.priority_code(F.col("priority")))
+    rules = F.explode(F.array(*[F.lit(r) for r in RUN_RULES])).alias("_rule")
+    wide = folded.select("*", rules)
+    exact = F.pmod(F.col("id") + F.col("_rule"), F.lit(5)) < 3
+    guess = F.pmod(F.floor(F.col("price")) + F.col("_rule"), F.lit(5)).cast("int")
+    return wide.select(
+        F.concat(F.lit(f"{RUN_TASK}-rule-"), F.col("_rule").cast("string")).alias("run_id"),
+        "fold",
+        "id",
+        "y",
+        F.when(exact, F.col("y")).otherwise(guess).cast("int").alias("yhat"),
+    )
+
+
+def _runs_table(spark, d):
+    outs = _run_outcomes(spark, d).select("run_id").distinct()
+    rule = F.regexp_extract("run_id", r"(\d+)$", 1).cast("int")
+    return outs.select(
+        "run_id",
+        F.lit(RUN_TASK).alias("task"),
+        F.lit("rule").alias("algorithm"),
+        (F.lit(1000) * (F.pmod(rule, F.lit(3)) + 1)).cast("long").alias("feature_columns"),
+    )
+
+
+def _run_metrics(spark, d):
+    return rn.overall_metrics_by_run(_run_outcomes(spark, d), LABELS)
+
+
+def _run_sql() -> str:
+    lv = S.labels_values(LABELS)
+    rules = ", ".join(f"({r})" for r in RUN_RULES)
+    return f"""{S.ORDERS_BASE},
+order_folds AS {S.folds_sql('order_rows', 'id', V.ORDER_STRATA)},
+ro AS (SELECT '{RUN_TASK}-rule-' || CAST(rr.r AS VARCHAR) AS run_id, fold, id, y,
+              CAST(CASE WHEN (id + rr.r) % 5 < 3 THEN y ELSE (CAST(floor(price) AS BIGINT) + rr.r) % 5 END AS INTEGER) AS yhat, rr.r AS rule
+       FROM (SELECT *, {S.priority_code('priority')} AS y FROM order_folds), (VALUES {rules}) AS rr(r)),
+lbl AS (SELECT * FROM {lv}),
+st AS (SELECT run_id, fold, label_id,
+              sum(CASE WHEN y = label_id AND yhat = label_id THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN y = label_id THEN 1 ELSE 0 END) AS support,
+              sum(CASE WHEN yhat = label_id THEN 1 ELSE 0 END) AS predicted
+       FROM ro, lbl GROUP BY run_id, fold, label_id),
+pf AS (SELECT run_id, fold, avg({S.f1_expr()}) AS macro_f1 FROM st GROUP BY run_id, fold),
+acc AS (SELECT run_id, fold, avg(CASE WHEN y = yhat THEN 1.0 ELSE 0.0 END) AS accuracy FROM ro GROUP BY run_id, fold),
+per_fold AS (SELECT * FROM pf JOIN acc USING (run_id, fold)),
+wide AS (SELECT run_id, avg(accuracy) AS cv_accuracy_mean, stddev_pop(accuracy) AS cv_accuracy_std,
+                avg(macro_f1) AS cv_macro_f1_mean, stddev_pop(macro_f1) AS cv_macro_f1_std FROM per_fold GROUP BY run_id),
+run_metrics AS (SELECT run_id, key, round(value, 6) AS value FROM wide
+                UNPIVOT (value FOR key IN (cv_accuracy_mean, cv_accuracy_std, cv_macro_f1_mean, cv_macro_f1_std))),
+runs AS (SELECT DISTINCT run_id, '{RUN_TASK}' AS task, 'rule' AS algorithm, CAST(1000 * (rule % 3 + 1) AS BIGINT) AS feature_columns FROM ro),
+head AS (SELECT run_id,
+                max(CASE WHEN key = 'cv_accuracy_mean' THEN value END) AS accuracy_mean,
+                max(CASE WHEN key = 'cv_accuracy_std' THEN value END) AS accuracy_std,
+                max(CASE WHEN key = 'cv_macro_f1_mean' THEN value END) AS macro_f1_mean,
+                max(CASE WHEN key = 'cv_macro_f1_std' THEN value END) AS macro_f1_std
+         FROM run_metrics GROUP BY run_id),
+board AS (SELECT r.*, h.accuracy_mean, h.accuracy_std, h.macro_f1_mean, h.macro_f1_std,
+                 CAST(row_number() OVER (PARTITION BY r.task ORDER BY round(h.macro_f1_mean, {rn.RANK_DIGITS}) DESC,
+                                         h.accuracy_mean DESC, r.feature_columns ASC, r.run_id) AS INTEGER) AS rank
+          FROM runs r JOIN head h USING (run_id))"""
+
+
+@register("run_metrics", lambda: f"WITH {_run_sql()} SELECT run_id, key, value FROM run_metrics")
+def q_run_metrics(spark, d):
+    return _run_metrics(spark, d)
+
+
+@register("headline_metrics", lambda: f"WITH {_run_sql()} SELECT * FROM head")
+def q_headline_metrics(spark, d):
+    return rn.headline_metrics(_run_metrics(spark, d))
+
+
+@register("leaderboard", lambda: f"WITH {_run_sql()} SELECT * FROM board")
+def q_leaderboard(spark, d):
+    return rn.leaderboard(_runs_table(spark, d), _run_metrics(spark, d))
+
+
+@register(
+    "promoted_runs",
+    lambda: f"WITH {_run_sql()} SELECT task, run_id, accuracy_mean, accuracy_std, macro_f1_mean, macro_f1_std FROM board WHERE rank = 1",
+)
+def q_promoted_runs(spark, d):
+    return rn.promoted_runs(rn.leaderboard(_runs_table(spark, d), _run_metrics(spark, d)))
+
+
+# ------------------------------------------------------------ scans, sinks (S)
+
+
+@register(
+    "ticket_scan",
+    lambda: f"""WITH {S.TICKETS}
+    SELECT id, coalesce(subject, '') AS subject, coalesce(body, '') AS body, language FROM tickets""",
+)
+def q_ticket_scan(spark, d):
+    """Tickets written as header CSV (quoted multi-line bodies) and scanned back.
+
+    As after the reference's CSV read, text nulls read as '' (an empty
+    quoted field and a missing one are the same thing in CSV).
+    """
+    path = scratch_path(spark, "tickets-csv")
+    t = V.tickets(spark, d, False)
+    tk.write_tickets_csv(t, path)
+    schema = "id BIGINT, subject STRING, body STRING, language STRING"
+    back = tk.read_tickets_csv(spark, path, schema=tk_schema(schema))
+    return back.select("id", tx.text_or_empty(F.col("subject")).alias("subject"), tx.text_or_empty(F.col("body")).alias("body"), "language")
+
+
+def tk_schema(ddl: str):
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(ddl)
+
+
+@register(
+    "dataset_profile",
+    lambda: "SELECT 'documents' AS dataset_id, CAST(count(*) AS BIGINT) AS dataset_row_count FROM documents",
+)
+def q_dataset_profile(spark, d):
+    return tk.dataset_profile(tables.table(spark, d, "documents")).select("dataset_id", "dataset_row_count")
+
+
+@register(
+    "confusion_unpivot",
+    lambda: f"WITH {_confusion_long_sql()} SELECT actual_label, predicted_label, count_mean AS value FROM conf",
+)
+def q_confusion_unpivot(spark, d):
+    """The mean confusion matrix written as CSV, scanned back and unpivoted."""
+    matrix = ev.confusion_matrix(_cube(spark, d), LABELS, "mean")
+    path = scratch_path(spark, "confusion-csv")
+    matrix.coalesce(1).write.option("header", True).csv(path)  # k rows: one small file
+    back = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    labels = [c for c in back.columns if c != "actual_label"]
+    long = back.unpivot("actual_label", labels, "predicted_label", "value")
+    return long.withColumn("value", F.round(F.col("value").cast("double"), 6))
+
+
+# ------------------------------------------------------ models (M1-M7, M10, S7)
+
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+
+from pyspark import StorageLevel  # noqa: E402
+
+from ..streaming import triage as st  # noqa: E402
+from . import models as ml  # noqa: E402
+
+# Hashed feature space of the registered fits (a parameter of the model,
+# independent of the data size).
+ML_FEATURES = 1 << 16
+
+
+def _ml_tickets(spark, d):
+    """Tickets with two targets: ``quality`` (binary, mostly missing) and ``lang`` (4 classes)."""
+    return V.tickets(spark, d, True).withColumn("lang", F.col("language"))
+
+
+@register("fit_logreg")
+def q_fit_logreg(spark, d):
+    """Multinomial logistic regression on the language target, fitted on all rows."""
+    rows = _ml_tickets(spark, d)
+    model, labels = ml.fit_task(rows, "lang", "logreg", num_features=ML_FEATURES)
+    return model.transform(rows).select("id", F.col("lang").alias("label"), "predicted_label")
+
+
+@register("fit_linear_svc")
+def q_fit_linear_svc(spark, d):
+    """Binary linear SVM on the quality target (labelled rows only)."""
+    rows = _ml_tickets(spark, d)
+    model, labels = ml.fit_task(rows, "quality", "linear_svc", num_features=ML_FEATURES)
+    scored = ml.predictions(model, rows.where(F.col("quality").isNotNull()), labels)
+    return scored.select(
+        "id", F.col("quality").alias("label"), "predicted_label",
+        F.col("triage.runner_up_label").alias("runner_up_label"), F.col("triage.margin_gap").alias("margin_gap"),
+    )
+
+
+def _cv(spark, d, target="lang", algorithm="logreg"):
+    key = (spark.sparkContext.applicationId, d, "cv", target, algorithm)
+    if key not in V._SHARED:
+        folds = V.doc_folds(spark, d).withColumn("lang", F.col("language"))
+        prepared = pr.with_grams(pr.prepare_tickets(folds, partition_by="id"))
+        out, labels = ml.cross_validate(prepared, target, algorithm, num_features=ML_FEATURES)
+        V._SHARED[key] = out.persist(StorageLevel.MEMORY_AND_DISK)
+        V._SHARED[key + ("labels",)] = labels
+    return V._SHARED[key], V._SHARED[key + ("labels",)]
+
+
+@register("cv_predictions")
+def q_cv_predictions(spark, d):
+    """Out-of-fold predictions for every labelled row (5 fits, features per fold)."""
+    out, _ = _cv(spark, d)
+    return out
+
+
+@register("cv_model_metrics")
+def q_cv_model_metrics(spark, d):
+    """All CV metric keys of the fitted language model (metrics over cv_predictions)."""
+    out, labels = _cv(spark, d)
+    cube = ev.outcome_cube(out.persist(StorageLevel.MEMORY_AND_DISK))
+    return ev.metrics_long(cube, list(enumerate(labels)))
+
+
+@register("triage_batch")
+def q_triage_batch(spark, d):
+    """Both task models applied to every ticket: label, runner-up and margin per task."""
+    rows = _ml_tickets(spark, d)
+    with ThreadPoolExecutor(max_workers=2) as pool:  # two independent fits overlap
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", num_features=ML_FEATURES)
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", num_features=ML_FEATURES)
+        (quality, q_labels), (lang, l_labels) = fq.result(), fl.result()
+    # prepare the text once, then run each task's feature + model stages
+    prepared = pr.with_grams(pr.prepare_tickets(V.tickets(spark, d, False), partition_by="id"))
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    out = prepared.select("id")
+    for name, model, labels in (("quality", quality, q_labels), ("lang", lang, l_labels)):
+        tail = PipelineModelTail(model)
+        scored = ml.predictions(tail, prepared, labels).select("id", F.col("triage").alias(name))
+        out = out.join(scored, "id")
+    return out.select(
+        "id",
+        *[F.col(f"{t}.{f}").alias(f"{t}_{f}") for t in ("quality", "lang") for f in ("label", "runner_up_label", "margin_gap")],
+    )
+
+
+def PipelineModelTail(model):
+    """The fitted stages after text preparation (input already prepared)."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel([s for s in model.stages if not isinstance(s, ml.TicketTextPrep)])
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """Fitted pipeline saved to the shared folder, loaded back and applied."""
+    from pyspark.ml import PipelineModel
+
+    rows = _ml_tickets(spark, d)
+    model, _ = ml.fit_task(rows, "lang", "logreg", num_features=ML_FEATURES)
+    path = scratch_path(spark, "model-lang")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return loaded.transform(rows).select("id", "predicted_label")
+
+
+# ------------------------------------------------------------ streaming (X1)
+
+
+def _relational_scorer(idf, coefs, intercepts, labels):
+    def score(batch: DataFrame) -> DataFrame:
+        prep = pr.with_grams(pr.prepare_tickets(batch, partition_by="id"))
+        weights = fe.tfidf_l2(fe.term_frequency(prep), idf)
+        wide = sc.linear_scores_wide(weights, coefs, batch.select("id"), intercepts)
+        t = sc.top2(F.col("scores"), labels)
+        return wide.select("id", t["label"].alias("label"), t["runner_up_label"].alias("runner_up_label"), t["margin_gap"].alias("margin_gap"))
+
+    return score
+
+
+def _streaming_sql() -> str:
+    return f"""{_top2_sql()}
+WHERE b.id IN (SELECT id FROM tickets WHERE length(subject) >= 1 AND length(body) >= 1)"""
+
+
+@register("streaming_triage", _streaming_sql)
+def q_streaming_triage(spark, d):
+    """Tickets replayed as a stream; accepted ones scored with the corpus model.
+
+    The model (idf + coefficient tables) is fitted on the batch corpus and
+    persisted; the stream re-prepares each micro-batch and joins against it.
+    """
+    _, idf = _idf(spark, d)
+    idf = idf.persist(StorageLevel.MEMORY_AND_DISK)
+    coefs = sc.hashed_coefficients(idf.select("term"), len(SCORE_LABELS)).persist(StorageLevel.MEMORY_AND_DISK)
+    source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "requests"))
+    scorer = _relational_scorer(idf, coefs, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
+    accepted, _ = st.run_triage_stream(spark, source, scorer)
+    return spark.read.parquet(accepted).drop("epoch")

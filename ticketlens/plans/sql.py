@@ -173,6 +173,13 @@ fold_m AS (SELECT fold, max(correct) / max(total) AS accuracy, avg(f1) AS macro_
 lang_m AS (SELECT fold, language, max(correct) / max(total) AS accuracy, avg(f1) AS macro_f1, max(total) AS sample_count FROM prf_fl GROUP BY fold, language)"""
 
 
+def f1_expr() -> str:
+    return (
+        "CASE WHEN 2 * tp + (predicted - tp) + (support - tp) = 0 THEN 0.0 "
+        "ELSE 2 * tp / (2 * tp + (predicted - tp) + (support - tp)) END"
+    )
+
+
 def prf_cols() -> str:
     return (
         "CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision, "
