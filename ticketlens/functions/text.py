@@ -89,7 +89,8 @@ def language_for_slices(language: Column) -> Column:
 
 def normalize_chars(text: Column, use_nfkc: bool = True) -> Column:
     """NFKC → lower → url / email / number masks → punctuation → collapse → strip."""
-    out = nfkc(text) if use_nfkc else text
+    out = text_or_empty(text)
+    out = nfkc(out) if use_nfkc else out
     out = F.lower(out)
     for pattern, replacement in REPLACEMENT_CHAIN:
         out = F.regexp_replace(out, pattern, replacement)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -414,7 +415,9 @@ def q_prediction_alignment(spark, d):
 
 
 def _cube(spark, d, rule=0):
-    return ev.outcome_cube(V.outcomes(spark, d, rule))
+    # The cube has at most folds × languages × k² rows and feeds several
+    # aggregates of one query; persisting it keeps the outcomes pass single.
+    return ev.outcome_cube(V.outcomes(spark, d, rule)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @register(
@@ -611,12 +614,15 @@ from ..session import scratch_path  # noqa: E402
 SCORE_LABELS = ("de", "en", "es", "fr")
 
 
+def _scoring_model(idf):
+    """(term, idf, coefs): the corpus idf with the deterministic coefficients."""
+    return sc.hashed_coefficients(idf.select("term", "idf"), len(SCORE_LABELS))
+
+
 def _linear_scores_wide(spark, d):
     tf, idf = _idf(spark, d)
-    weights = fe.tfidf_l2(tf, idf)
-    coefs = sc.hashed_coefficients(idf.select("term"), len(SCORE_LABELS))
     ids = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"))
-    return sc.linear_scores_wide(weights, coefs, ids, sc.hashed_intercepts(len(SCORE_LABELS)))
+    return sc.linear_scores_wide(tf, _scoring_model(idf), ids, sc.hashed_intercepts(len(SCORE_LABELS)))
 
 
 def _scores_sql() -> str:
@@ -814,7 +820,6 @@ def q_confusion_unpivot(spark, d):
 
 from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 
-from pyspark import StorageLevel  # noqa: E402
 
 from ..streaming import triage as st  # noqa: E402
 from . import models as ml  # noqa: E402
@@ -920,11 +925,10 @@ def q_model_roundtrip(spark, d):
 # ------------------------------------------------------------ streaming (X1)
 
 
-def _relational_scorer(idf, coefs, intercepts, labels):
+def _relational_scorer(model, intercepts, labels):
     def score(batch: DataFrame) -> DataFrame:
         prep = pr.with_grams(pr.prepare_tickets(batch, partition_by="id"))
-        weights = fe.tfidf_l2(fe.term_frequency(prep), idf)
-        wide = sc.linear_scores_wide(weights, coefs, batch.select("id"), intercepts)
+        wide = sc.linear_scores_wide(fe.term_frequency(prep), model, batch.select("id"), intercepts)
         t = sc.top2(F.col("scores"), labels)
         return wide.select("id", t["label"].alias("label"), t["runner_up_label"].alias("runner_up_label"), t["margin_gap"].alias("margin_gap"))
 
@@ -944,9 +948,10 @@ def q_streaming_triage(spark, d):
     persisted; the stream re-prepares each micro-batch and joins against it.
     """
     _, idf = _idf(spark, d)
-    idf = idf.persist(StorageLevel.MEMORY_AND_DISK)
-    coefs = sc.hashed_coefficients(idf.select("term"), len(SCORE_LABELS)).persist(StorageLevel.MEMORY_AND_DISK)
+    # The model is one table, hash-partitioned by term and persisted, so each
+    # micro-batch shuffles only its own rows to meet it.
+    model = _scoring_model(idf).repartition("term").persist(StorageLevel.MEMORY_AND_DISK)
     source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "requests"))
-    scorer = _relational_scorer(idf, coefs, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
+    scorer = _relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
     accepted, _ = st.run_triage_stream(spark, source, scorer)
     return spark.read.parquet(accepted).drop("epoch")
