@@ -66,3 +66,10 @@ def test_missing_language_is_scored(spark, smoke):
     req = spark.createDataFrame([("printer", "Technical Support is broken")], "subject string, body string")
     out = ml.predictions(model, req, labels).select("triage.*").first()
     assert out.label in QUEUES
+
+
+def test_length_feature_is_appended(spark, smoke):
+    model, labels = ml.fit_task(smoke, "queue", "logreg", num_features=1 << 10, length_feature=True)
+    row = model.transform(smoke).select("features", "length_feature").first()
+    assert row.features.size == (1 << 10) + 1
+    assert 0.0 < row.length_feature <= 1.0

@@ -30,6 +30,8 @@ from pyspark.ml.feature import (
     HashingTF,
     IndexToString,
     Normalizer,
+    SQLTransformer,
+    VectorAssembler,
     StringIndexer,
     StringIndexerModel,
 )
@@ -44,6 +46,7 @@ from pyspark.sql import functions as F
 from ..operators import features as fe
 from ..operators import prepare as pr
 from ..operators import scoring as sc
+from ..session import spread
 
 # Model settings per algorithm and task.
 C_BY_ALGORITHM_AND_TASK = {
@@ -139,12 +142,31 @@ def classifier(algorithm: str, kind: str, n_classes: int, total_weight: float, m
     return OneVsRest(classifier=svc, featuresCol="features", labelCol="label_id", weightCol="class_weight")
 
 
-def feature_stages(num_features: int = NUM_FEATURES):
-    return [
+class LengthScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """length / max(max training length, 1.0), fitted into a SQLTransformer."""
+
+    def _fit(self, df: DataFrame) -> Transformer:
+        top = df.agg(F.max(F.col(pr.LENGTH).cast("double"))).first()[0]
+        scale = max(float(top or 0.0), 1.0)
+        return SQLTransformer(
+            statement=f"SELECT *, CAST({pr.LENGTH} AS DOUBLE) / {scale!r} AS length_feature FROM __THIS__"
+        )
+
+
+def feature_stages(num_features: int = NUM_FEATURES, length_feature: bool = False):
+    """Hashed n-gram TF-IDF (L2) → ``features``; optionally ‖ the scaled length."""
+    text_out = "text_features" if length_feature else "features"
+    stages = [
         HashingTF(inputCol="grams", outputCol="tf", numFeatures=num_features),
         SmoothIdf(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+        Normalizer(inputCol="tfidf", outputCol=text_out, p=2.0),
     ]
+    if length_feature:
+        stages += [
+            LengthScaler(),
+            VectorAssembler(inputCols=[text_out, "length_feature"], outputCol="features"),
+        ]
+    return stages
 
 
 def fit_task(
@@ -156,26 +178,34 @@ def fit_task(
     num_features: int = NUM_FEATURES,
     max_iter: int = MAX_ITER,
     kind: str | None = None,
+    length_feature: bool = False,
 ):
     """Fit one task on the rows with a target; returns (PipelineModel, labels).
 
     ``rows`` are raw tickets when ``with_text`` else already prepared (with
     a ``grams`` column), which lets cross-validation prepare text once.
     """
-    labelled = rows.where(F.col(target).isNotNull())
+    labelled = spread(rows.where(F.col(target).isNotNull()))
+    text_stage = TicketTextPrep() if with_text else None
+    if text_stage is not None:
+        # The fit makes several passes (label codes, class counts, IDF, the
+        # solver's instance cache): prepare the text once for all of them.
+        labelled = text_stage.transform(labelled).persist(StorageLevel.MEMORY_AND_DISK)
     indexer = target_indexer(target, order)
     if isinstance(indexer, StringIndexer):
         indexer = indexer.fit(labelled)
     labels = list(indexer.labels)
     indexed, total_weight = with_balanced_weights(indexer.transform(labelled))
     kind = kind or ("ordinal" if order is not None else "nominal")
-    stages = ([TicketTextPrep()] if with_text else []) + feature_stages(num_features)
-    stages += [
+    stages = feature_stages(num_features, length_feature) + [
         classifier(algorithm, kind, len(labels), total_weight, max_iter),
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels),
     ]
-    model = Pipeline(stages=stages).fit(indexed)
-    return model, labels
+    fitted = Pipeline(stages=stages).fit(indexed)
+    if text_stage is not None:
+        labelled.unpersist()
+        return PipelineModel([text_stage] + fitted.stages), labels
+    return fitted, labels
 
 
 def predictions(model: PipelineModel, rows: DataFrame, labels, target: str | None = None) -> DataFrame:

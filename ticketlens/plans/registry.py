@@ -955,3 +955,49 @@ def q_streaming_triage(spark, d):
     scorer = _relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
     accepted, _ = st.run_triage_stream(spark, source, scorer)
     return spark.read.parquet(accepted).drop("epoch")
+
+
+# ------------------------------------- second outcomes set: zero-support class
+
+# Quality labels with a third class that never occurs.
+QUALITY_LABELS = [(0, "0"), (1, "1"), (2, "2")]
+
+
+def _quality_outcomes(spark, d):
+    """labels ⋈ documents: y = quality, yhat = (n_chars > 500), folds on (quality, toxic)."""
+    folds = V.doc_folds(spark, d).select("id", "fold", "language")
+    labels = tables.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("y"))
+    docs = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "n_chars")
+    return labels.join(docs, "id").join(folds, "id").select(
+        "fold", "id", "language", "y", (F.col("n_chars") > 500).cast("int").alias("yhat")
+    )
+
+
+def _quality_outcomes_sql() -> str:
+    return f"""{S.TICKETS},
+doc_folds AS {S.folds_sql('tickets', 'id', V.DOC_STRATA)},
+outcomes AS (SELECT f.fold, l.doc_id AS id, f.language, CAST(l.quality AS INTEGER) AS y,
+                    CAST(d.n_chars > 500 AS INTEGER) AS yhat
+             FROM labels l JOIN documents d ON l.doc_id = d.doc_id JOIN doc_folds f ON f.id = l.doc_id)"""
+
+
+@register(
+    "zero_support_metrics",
+    lambda: f"""WITH {S.cube_ctes(QUALITY_LABELS, outcomes=_quality_outcomes_sql())}
+    SELECT fold, label_id, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+           CAST(support AS BIGINT) AS support FROM prf_f""",
+)
+def q_zero_support_metrics(spark, d):
+    cube = ev.outcome_cube(_quality_outcomes(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
+    return ev.per_class_metrics(cube, QUALITY_LABELS)
+
+
+@register(
+    "zero_support_language",
+    lambda: f"""WITH {S.cube_ctes(QUALITY_LABELS, outcomes=_quality_outcomes_sql())}
+    SELECT language, {S.ms('accuracy')}, {S.ms('macro_f1')}, {S.ms('sample_count')}
+    FROM (SELECT language, accuracy, macro_f1, sample_count::DOUBLE AS sample_count FROM lang_m) GROUP BY language""",
+)
+def q_zero_support_language(spark, d):
+    cube = ev.outcome_cube(_quality_outcomes(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
+    return ev.cv_language(cube, QUALITY_LABELS)

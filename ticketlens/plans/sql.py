@@ -147,10 +147,14 @@ def labels_values(labels) -> str:
     return f"(VALUES {rows}) AS lbl(label_id, label)"
 
 
-def cube_ctes(labels, rule: int = 0) -> str:
-    """outcomes → cube(fold, language, y, yhat, n) → stats per (fold[, language], class)."""
+def cube_ctes(labels, rule: int = 0, outcomes: str | None = None) -> str:
+    """outcomes → cube(fold, language, y, yhat, n) → stats per (fold[, language], class).
+
+    ``outcomes``: CTE text defining a relation named ``outcomes``; default the
+    orders outcomes with prediction rule ``rule``.
+    """
     lv = labels_values(labels)
-    return f"""{outcomes_ctes(rule)},
+    return f"""{outcomes or outcomes_ctes(rule)},
 cube AS (SELECT fold, {language_for_slices('language')} AS language, y, yhat, count(*) AS n FROM outcomes GROUP BY ALL),
 lbl AS (SELECT * FROM {lv}),
 tot_f AS (SELECT fold, sum(n) AS total, sum(CASE WHEN y = yhat THEN n ELSE 0 END) AS correct FROM cube GROUP BY fold),

@@ -90,3 +90,16 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over the cluster when the input has fewer
+    partitions than cores (e.g. a file with one row group); otherwise a no-op.
+
+    Large inputs already arrive in many splits, so this adds no shuffle there.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
