@@ -18,7 +18,7 @@ FAST = [
     "confusion_matrix_mean", "confusion_matrix_std", "cv_language", "metrics_long", "top_terms_per_language",
     "linear_scores", "top2_margin", "run_metrics", "headline_metrics", "leaderboard", "promoted_runs",
     "ticket_scan", "dataset_profile", "confusion_unpivot", "streaming_triage", "language_norm",
-    "zero_support_metrics", "zero_support_language",
+    "zero_support_metrics", "zero_support_language", "cv_idf_by_subtraction",
 ]
 
 

@@ -12,7 +12,9 @@ Plan shape (see README "Scale"):
 * ``tf ⋈ idf`` is an equi-join on the term: AQE turns it into a broadcast
   join only when the measured idf side is under the broadcast threshold,
   otherwise sort-merge with skew splitting;
-* row norms are a window over the id, which reuses the id partitioning.
+* row norms are a partial + final aggregate per id joined back (one row per
+  document leaves each task), not a window that moves every pair;
+* per-fold training IDF tables come from one aggregate by subtraction.
 """
 
 from __future__ import annotations
@@ -127,3 +129,36 @@ def length_feature(prepared: DataFrame, train_flag: str | None = None, length_co
     base = prepared if train_flag is None else prepared.where(F.col(train_flag))
     scale = base.select(F.greatest(F.max(F.col(length_col).cast("double")), F.lit(1.0))).scalar()
     return prepared.withColumn("length_feature", F.col(length_col).cast("double") / scale)
+
+
+def fold_idf_tables(tf: DataFrame, folds: DataFrame, n_folds: int, id_col: str = "id", max_df: float = MAX_DF) -> DataFrame:
+    """(fold, term, df, idf) of the training side of every fold, in one pass.
+
+    The training df of fold f is the total df minus the df inside f, so one
+    aggregate per term with k conditional counts (partial + final, keyed by
+    the term) replaces k scans of the corpus. Training sizes come from the
+    k per-fold document counts (k rows).
+    """
+    tagged = tf.select(id_col, "term").join(folds.select(id_col, "fold"), id_col)
+    per_term = tagged.groupBy("term").agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count(F.when(F.col("fold") == f, 1)).alias(f"_in{f}") for f in range(1, n_folds + 1)],
+    )
+    exploded = per_term.select(
+        "term",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(f).alias("fold"), (F.col("_total") - F.col(f"_in{f}")).alias("df"))
+                    for f in range(1, n_folds + 1)
+                ]
+            )
+        ),
+    ).where(F.col("df") > 0)
+    sizes = folds.groupBy("fold").agg(F.count(F.lit(1)).alias("_n_in"))
+    total = folds.select(F.count(F.lit(1))).scalar()
+    train = sizes.select("fold", (total - F.col("_n_in")).alias("_n"))
+    out = exploded.join(F.broadcast(train), "fold")  # k rows
+    out = out.where(F.col("df") <= F.lit(float(max_df)) * F.col("_n"))
+    idf = F.log((F.lit(1.0) + F.col("_n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return out.select(F.col("fold").cast("int").alias("fold"), "term", "df", idf.alias("idf"))

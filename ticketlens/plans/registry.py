@@ -1001,3 +1001,20 @@ def q_zero_support_metrics(spark, d):
 def q_zero_support_language(spark, d):
     cube = ev.outcome_cube(_quality_outcomes(spark, d)).persist(StorageLevel.MEMORY_AND_DISK)
     return ev.cv_language(cube, QUALITY_LABELS)
+
+
+@register(
+    "cv_idf_by_subtraction",
+    lambda: f"""WITH {_doc_fold_sql()},
+    ks AS (SELECT DISTINCT fold AS k FROM doc_folds),
+    tr AS (SELECT ks.k AS fold, tf.term, count(*) AS df FROM tf JOIN doc_folds f USING (id), ks WHERE f.fold <> ks.k GROUP BY ks.k, tf.term),
+    ntr AS (SELECT ks.k AS fold, count(*) AS n FROM doc_folds f, ks WHERE f.fold <> ks.k GROUP BY ks.k)
+    SELECT tr.fold, tr.term, CAST(tr.df AS BIGINT) AS df, round(ln((1.0 + ntr.n) / (1.0 + tr.df)) + 1.0, 6) AS idf
+    FROM tr JOIN ntr USING (fold) WHERE tr.df <= 0.95 * ntr.n""",
+)
+def q_cv_idf_by_subtraction(spark, d):
+    """The k training-side IDF tables of the shared folds from one aggregate."""
+    tf = V.term_frequency(spark, d)
+    folds = V.doc_folds(spark, d).select("id", "fold")
+    out = fe.fold_idf_tables(tf, folds, V.N_FOLDS)
+    return out.select("fold", "term", "df", _r(F.col("idf")).alias("idf"))
