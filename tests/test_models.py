@@ -27,7 +27,8 @@ def smoke(spark):
 
 @pytest.mark.parametrize("algorithm", ["logreg", "linear_svc"])
 def test_fit_and_triage(spark, smoke, algorithm):
-    model, labels = ml.fit_task(smoke, "queue", algorithm, num_features=1 << 12)
+    # 30 rows: every solver evaluation is a Spark job, so cap the iterations
+    model, labels = ml.fit_task(smoke, "queue", algorithm, num_features=1 << 12, max_iter=25)
     assert labels == sorted(QUEUES)
     scored = ml.predictions(model, smoke.drop("queue", "priority"), labels).select("triage.*").collect()
     assert all(r.label != r.runner_up_label for r in scored)

@@ -139,7 +139,11 @@ def classifier(algorithm: str, kind: str, n_classes: int, total_weight: float, m
     )
     if n_classes <= 2:
         return svc
-    return OneVsRest(classifier=svc, featuresCol="features", labelCol="label_id", weightCol="class_weight")
+    # the k binary fits are independent jobs: let OneVsRest submit them together
+    return OneVsRest(
+        classifier=svc, featuresCol="features", labelCol="label_id", weightCol="class_weight",
+        parallelism=min(n_classes, 8),
+    )
 
 
 class LengthScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):

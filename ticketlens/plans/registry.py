@@ -388,26 +388,30 @@ def q_fold_split_counts(spark, d):
 
 @register(
     "prediction_alignment",
-    lambda: f"""WITH {S.outcomes_ctes()},
-    truth AS (SELECT id, y FROM outcomes), pred AS (SELECT id, yhat FROM outcomes WHERE fold <> 5)
+    lambda: """WITH truth AS (SELECT doc_id AS id, quality AS y FROM labels),
+    pred AS (SELECT doc_id AS id, CAST(n_chars > 500 AS INTEGER) AS yhat FROM documents)
     SELECT CAST(count(*) FILTER (WHERE t.id IS NOT NULL AND p.id IS NOT NULL) AS BIGINT) AS aligned,
            CAST(count(*) FILTER (WHERE p.id IS NULL) AS BIGINT) AS truth_only,
-           CAST(count(*) FILTER (WHERE t.id IS NULL) AS BIGINT) AS prediction_only
+           CAST(count(*) FILTER (WHERE t.id IS NULL) AS BIGINT) AS prediction_only,
+           CAST(count(*) FILTER (WHERE t.y = p.yhat) AS BIGINT) AS agreeing
     FROM truth t FULL OUTER JOIN pred p ON t.id = p.id""",
 )
 def q_prediction_alignment(spark, d):
-    """Truth ⋈ predictions on the row id; rows on one side only are counted.
+    """Truth (labels) ⋈ predictions (every document) on the row id.
 
-    Predictions exist for folds 1–4 only, so fold 5 shows as truth-only rows.
+    Rows present on one side only are counted instead of being silently
+    paired by position; the reference raises on a length mismatch.
     """
-    o = V.outcomes(spark, d)
-    truth = o.select("id", "y")
-    pred = o.where(F.col("fold") != 5).select(F.col("id").alias("pid"), "yhat")
+    truth = tables.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
+    pred = tables.table(spark, d, "documents").select(
+        F.col("doc_id").alias("pid"), (F.col("n_chars") > 500).cast("int").alias("yhat")
+    )
     j = truth.join(pred, truth.id == pred.pid, "full_outer")
     return j.agg(
         F.count(F.when(F.col("id").isNotNull() & F.col("pid").isNotNull(), 1)).alias("aligned"),
         F.count(F.when(F.col("pid").isNull(), 1)).alias("truth_only"),
         F.count(F.when(F.col("id").isNull(), 1)).alias("prediction_only"),
+        F.count(F.when(F.col("y") == F.col("yhat"), 1)).alias("agreeing"),
     )
 
 
