@@ -15,8 +15,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # let AQE size the partitions of persisted intermediates too
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
