@@ -201,15 +201,23 @@ def fit_task(
     labels = list(indexer.labels)
     indexed, total_weight = with_balanced_weights(indexer.transform(labelled))
     kind = kind or ("ordinal" if order is not None else "nominal")
-    stages = feature_stages(num_features, length_feature) + [
-        classifier(algorithm, kind, len(labels), total_weight, max_iter),
+    feature_model = Pipeline(stages=feature_stages(num_features, length_feature)).fit(indexed)
+    # The solver passes over the data once per evaluation: keep only the
+    # vectors, the label and the weight in memory for it.
+    vectors = (
+        feature_model.transform(indexed)
+        .select("features", "label_id", "class_weight")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    model = classifier(algorithm, kind, len(labels), total_weight, max_iter).fit(vectors)
+    vectors.unpersist()
+    stages = ([text_stage] if text_stage is not None else []) + feature_model.stages + [
+        model,
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels),
     ]
-    fitted = Pipeline(stages=stages).fit(indexed)
     if text_stage is not None:
         labelled.unpersist()
-        return PipelineModel([text_stage] + fitted.stages), labels
-    return fitted, labels
+    return PipelineModel(stages), labels
 
 
 def predictions(model: PipelineModel, rows: DataFrame, labels, target: str | None = None) -> DataFrame:
