@@ -74,3 +74,11 @@ def test_length_feature_is_appended(spark, smoke):
     row = model.transform(smoke).select("features", "length_feature").first()
     assert row.features.size == (1 << 10) + 1
     assert 0.0 < row.length_feature <= 1.0
+
+
+def test_fit_errors(spark, smoke):
+    with pytest.raises(KeyError, match="Missing target column: team"):
+        ml.fit_task(smoke, "team")
+    empty = smoke.withColumn("queue", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="No rows with non-null target values for 'queue'"):
+        ml.fit_task(empty, "queue")

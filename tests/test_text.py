@@ -131,3 +131,13 @@ def test_ngrams(spark):
     assert got[0] == ["aa", "bb", "cc", "dd", "aa bb", "bb cc", "cc dd", "aa bb cc", "bb cc dd"]
     assert got[1] == ["aa"]
     assert got[2] == []
+
+
+def test_request_validation(spark):
+    from ticketlens.sources.tickets import validate_requests
+
+    df = spark.createDataFrame([(1, "printer", "broken"), (2, "", "x"), (3, "s", None)], "id long, subject string, body string")
+    got = {r.id: (r.accepted, r.reason) for r in validate_requests(df).collect()}
+    assert got == {1: (True, None), 2: (False, "empty subject"), 3: (False, "missing body")}
+    no_body = spark.createDataFrame([(4, "only a subject")], "id long, subject string")
+    assert validate_requests(no_body).first().reason == "missing body"

@@ -189,7 +189,12 @@ def fit_task(
     ``rows`` are raw tickets when ``with_text`` else already prepared (with
     a ``grams`` column), which lets cross-validation prepare text once.
     """
-    labelled = spread(rows.where(F.col(target).isNotNull()))
+    if target not in rows.columns:
+        raise KeyError(f"Missing target column: {target}")
+    labelled = rows.where(F.col(target).isNotNull())
+    if not labelled.limit(1).collect():
+        raise ValueError(f"No rows with non-null target values for '{target}'.")
+    labelled = spread(labelled)
     text_stage = TicketTextPrep() if with_text else None
     if text_stage is not None:
         # The fit makes several passes (label codes, class counts, IDF, the
@@ -244,6 +249,8 @@ def cross_validate(
     ``prepared_rows`` carries ``fold`` and ``grams``; it is persisted once and
     each fold's fit is a set of distributed Spark jobs.
     """
+    if n_folds < 1:
+        raise ValueError("At least one fold evaluation is required.")
     base = prepared_rows.where(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     indexer = target_indexer(target, order)
     if isinstance(indexer, StringIndexer):
