@@ -786,17 +786,10 @@ def q_ticket_scan(spark, d):
     path = scratch_path(spark, "tickets-csv")
     t = V.tickets(spark, d, False)
     tk.write_tickets_csv(t, path)
-    schema = "id BIGINT, subject STRING, body STRING, language STRING"
-    back = tk.read_tickets_csv(spark, path, schema=tk_schema(schema))
+    back = tk.read_tickets_csv(spark, path, schema=tk.REQUEST_SCHEMA)
     return back.select("id", tx.text_or_empty(F.col("subject")).alias("subject"), tx.text_or_empty(F.col("body")).alias("body"), "language")
 
 
-def tk_schema(ddl: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl)
-
-
 @register(
     "dataset_profile",
     lambda: "SELECT 'documents' AS dataset_id, CAST(count(*) AS BIGINT) AS dataset_row_count FROM documents",

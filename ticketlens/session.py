@@ -81,17 +81,6 @@ def env_int(name: str, default: int) -> int:
         return default
 
 
-def materialize(df):
-    """Write a reused intermediate once to the shared checkpoint folder.
-
-    ``checkpoint`` (never ``localCheckpoint``) keeps the result on shared
-    storage, so a lost executor does not force a recompute of the lineage,
-    and the physical partitioning is kept for later operators.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def spread(df, min_partitions: int | None = None):
     """Round-robin the rows over the cluster when the input has fewer
     partitions than cores (e.g. a file with one row group); otherwise a no-op.
