@@ -41,7 +41,8 @@ def con(sf_dir):
 def test_every_query_has_oracle_or_is_a_fit():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"fit_logreg", "fit_linear_svc", "cv_predictions", "cv_model_metrics", "triage_batch", "model_roundtrip"}
+    assert set(q) - set(o) == {"fit_logreg", "fit_linear_svc", "cv_predictions", "cv_model_metrics", "triage_batch",
+                               "model_roundtrip", "streaming_model_triage"}
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -1015,3 +1015,30 @@ def q_cv_idf_by_subtraction(spark, d):
     folds = V.doc_folds(spark, d).select("id", "fold")
     out = fe.fold_idf_tables(tf, folds, V.N_FOLDS)
     return out.select("fold", "term", "df", _r(F.col("idf")).alias("idf"))
+
+
+@register("streaming_model_triage")
+def q_streaming_model_triage(spark, d):
+    """Request files replayed as a stream and scored by the fitted task models
+    (language: logistic regression; quality: linear SVM) in each micro-batch —
+    the serving pipeline, no oracle (model fits)."""
+    rows = _ml_tickets(spark, d)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", num_features=ML_FEATURES)
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", num_features=ML_FEATURES)
+        models = {"quality": fq.result(), "lang": fl.result()}
+
+    def score(batch: DataFrame) -> DataFrame:
+        prepared = ml.TicketTextPrep().transform(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        out = prepared.select("id")
+        for name, (model, labels) in models.items():
+            scored = ml.predictions(PipelineModelTail(model), prepared, labels)
+            out = out.join(scored.select("id", F.col("triage").alias(name)), "id")
+        return out.select(
+            "id",
+            *[F.col(f"{t}.{f}").alias(f"{t}_{f}") for t in models for f in ("label", "runner_up_label", "margin_gap")],
+        )
+
+    source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "model-requests"))
+    accepted, _ = st.run_triage_stream(spark, source, score)
+    return spark.read.parquet(accepted).drop("epoch")
