@@ -29,3 +29,16 @@ def test_restart_is_idempotent_and_incremental(spark, sf_dir, tmp_path):
     assert after == total + 3
     ids = [r.id for r in spark.read.parquet(acc).select("id").collect()]
     assert len(ids) == len(set(ids))
+
+
+def test_streamed_model_scores_equal_batch(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    q = entry.queries()
+    batch = {r.id: tuple(r)[1:] for r in q["triage_batch"](spark, sf_dir).collect()}
+    streamed = {r.id: tuple(r)[1:] for r in q["streaming_model_triage"](spark, sf_dir).collect()}
+    assert streamed and set(streamed) <= set(batch)
+    for i, row in streamed.items():
+        b = batch[i]
+        assert (row[0], row[1], row[3], row[4]) == (b[0], b[1], b[3], b[4])
+        assert abs(row[2] - b[2]) < 1e-6 and abs(row[5] - b[5]) < 1e-6
