@@ -65,3 +65,16 @@ def test_topk_and_length_feature(spark, sf_dir, grams):
     df = spark.createDataFrame([(0, True), (0, False), (10, False)], "ticket_text_length int, train boolean")
     vals = [r.length_feature for r in fe.length_feature(df, "train").collect()]
     assert vals == [0.0, 0.0, 10.0]  # train max 0 → scale floored at 1.0
+
+
+def test_sublinear_tf_and_df_bounds(spark):
+    docs = spark.createDataFrame(
+        [(1, ["aa", "aa", "bb"]), (2, ["aa", "cc"]), (3, ["aa", "bb"]), (4, ["dd"])], "id long, grams array<string>"
+    )
+    tf = {(r.id, r.term): r.tf for r in fe.term_frequency(docs, sublinear=True).collect()}
+    assert tf[(1, "aa")] == pytest.approx(1 + math.log(2)) and tf[(1, "bb")] == pytest.approx(1.0)
+    raw = fe.term_frequency(docs)
+    kept = {r.term for r in fe.idf_table(raw, 4, min_df=0.5, max_df=0.95).collect()}
+    assert kept == {"aa", "bb"}  # df ≥ 2 and df ≤ 3.8
+    kept = {r.term for r in fe.idf_table(raw, 4, min_df=1, max_df=2).collect()}
+    assert kept == {"bb", "cc", "dd"}  # absolute max_df: aa (df 3) dropped
