@@ -82,3 +82,11 @@ def test_fit_errors(spark, smoke):
     empty = smoke.withColumn("queue", F.lit(None).cast("string"))
     with pytest.raises(ValueError, match="No rows with non-null target values for 'queue'"):
         ml.fit_task(empty, "queue")
+
+
+def test_exact_vocabulary_fit(spark, smoke):
+    model, labels = ml.fit_task(smoke, "queue", "logreg", max_features=40, max_iter=25)
+    vocab = model.stages[1].vocabulary
+    assert len(vocab) == 40 and vocab == sorted(vocab)
+    out = ml.predictions(model, smoke, labels).select("triage.label").collect()
+    assert len(out) == 30

@@ -26,6 +26,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import (
     IDF,
+    CountVectorizerModel,
     ElementwiseProduct,
     HashingTF,
     IndexToString,
@@ -157,11 +158,31 @@ class LengthScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         )
 
 
-def feature_stages(num_features: int = NUM_FEATURES, length_feature: bool = False):
-    """Hashed n-gram TF-IDF (L2) → ``features``; optionally ‖ the scaled length."""
+def exact_vocabulary(prepared_rows: DataFrame, max_features: int, id_col: str = "id") -> list[str]:
+    """The ``max_features`` most frequent terms after df pruning, term order.
+
+    Computed relationally (distributed top-k); only k terms reach the driver,
+    k being a parameter, so exact-vocabulary fits stay bounded.
+    """
+    tf = fe.term_frequency(prepared_rows.select(id_col, "grams"), id_col)
+    idf = fe.idf_table(tf, fe.corpus_size(prepared_rows))
+    return sorted(r.term for r in fe.vocabulary_topk(tf, idf, max_features).collect())
+
+
+def feature_stages(num_features: int = NUM_FEATURES, length_feature: bool = False, vocabulary=None):
+    """N-gram TF-IDF (L2) → ``features``; optionally ‖ the scaled length.
+
+    Hashed buckets by default; with ``vocabulary`` (a bounded term list) the
+    counts use exactly those terms, in that order.
+    """
     text_out = "text_features" if length_feature else "features"
+    counts = (
+        CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="grams", outputCol="tf")
+        if vocabulary is not None
+        else HashingTF(inputCol="grams", outputCol="tf", numFeatures=num_features)
+    )
     stages = [
-        HashingTF(inputCol="grams", outputCol="tf", numFeatures=num_features),
+        counts,
         SmoothIdf(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol=text_out, p=2.0),
     ]
@@ -183,6 +204,7 @@ def fit_task(
     max_iter: int = MAX_ITER,
     kind: str | None = None,
     length_feature: bool = False,
+    max_features: int | None = None,
 ):
     """Fit one task on the rows with a target; returns (PipelineModel, labels).
 
@@ -206,7 +228,8 @@ def fit_task(
     labels = list(indexer.labels)
     indexed, total_weight = with_balanced_weights(indexer.transform(labelled))
     kind = kind or ("ordinal" if order is not None else "nominal")
-    feature_model = Pipeline(stages=feature_stages(num_features, length_feature)).fit(indexed)
+    vocabulary = exact_vocabulary(indexed, max_features) if max_features else None
+    feature_model = Pipeline(stages=feature_stages(num_features, length_feature, vocabulary)).fit(indexed)
     # The solver passes over the data once per evaluation: keep only the
     # vectors, the label and the weight in memory for it.
     vectors = (
