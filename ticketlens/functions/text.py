@@ -1,7 +1,7 @@
 """Column builders for ticket text: combine, normalise, stop words, languages.
 
-Everything except NFKC is a native Spark expression (whole-stage codegen,
-no Python in the hot path). NFKC has no Spark SQL function and runs as one
+Everything except NFKC is a native Spark expression (JVM-side, no Python in
+the hot path; the string functions are code-generated). NFKC has no Spark SQL function and runs as one
 Arrow-batched pandas UDF that leaves pure-ASCII strings untouched.
 
 Java's ``\\s``, ``\\S``, ``\\d``, ``\\w`` and ``\\b`` are ASCII-only, while the
