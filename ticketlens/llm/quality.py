@@ -19,7 +19,7 @@ CELLS = 1 << 14
 #: Weights are whole numbers of this part of a nat, so sums do not depend on their order.
 GRAIN = 1024
 #: Documents are kept from this mean log-ratio on (natural logarithm).
-THRESHOLD = -0.15
+THRESHOLD = -0.08
 #: Trusted documents that the target is counted on at most, in hash order of their ids.
 TRUSTED_SAMPLE = 20_000
 SMOOTHING = 1.0
