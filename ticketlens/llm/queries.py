@@ -110,32 +110,30 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op1_substring_dedup": r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
 ), g AS (
   SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS i FROM w
-), k AS (
-  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g FROM g
 ), f AS (
-  SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY g) AS hit FROM k
+  SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY array_to_string(ws[i:i + 12], ' ')) AS hit FROM g
 ), c AS (
   SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM f WHERE hit
+), e AS (
+  SELECT doc_id, unnest(range(1, len(ws) + 1)) AS j, unnest(ws) AS word FROM w
 ), m AS (
-  SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id
-), r AS (
-  SELECT w.doc_id, ws, coalesce(gone, []) AS gone FROM w LEFT JOIN m USING (doc_id)
+  SELECT e.doc_id, e.j, word, c.j IS NOT NULL AS gone, lag(c.j) OVER (PARTITION BY e.doc_id ORDER BY e.j) IS NOT NULL AS gone_before
+  FROM e LEFT JOIN c USING (doc_id, j)
 ), s AS (
-  SELECT doc_id, ws, list_sort(gone) AS gone,
-    list_filter(range(1, len(ws) + 1), j -> NOT list_contains(gone, j)) AS stay FROM r
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed, count(*) FILTER (gone AND NOT gone_before) AS intervals,
+    string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id
 )
-SELECT doc_id, len(ws)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
-  sha256(coalesce(array_to_string(list_transform(stay, j -> ws[j]), ' '), '')) AS kept_sha256,
-  len(list_filter(gone, j -> NOT list_contains(gone, j - 1)))::INTEGER AS n_intervals
-FROM s
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256, coalesce(intervals, 0)::INTEGER AS n_intervals
+FROM w LEFT JOIN s USING (doc_id)
 """,
     "op5_exact_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
   FROM v q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0

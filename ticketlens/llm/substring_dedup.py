@@ -8,7 +8,8 @@
    Windows that a task has seen in a smaller id already are settled there, so
    a passage that a third of all documents share costs one entry per task.
 3. Each partition counts its windows by hash; those that occur in a smaller
-   document go back, as hashes, to the documents that hold them.
+   document go back, as hashes packed by destination, to the partitions that
+   the documents themselves are dealt to by id.
 4. Each document marks the windows, and overlapping ones merge into maximal
    removal intervals.
 
@@ -18,6 +19,7 @@ partitions); within one document, by 56 bits.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +38,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LOW = np.uint64((1 << 56) - 1)
 
-_SENT = "part int, id long, ids binary, counts binary, hashes binary"
-_FLAGGED = "id long, hashes binary"
+_SENT = "part int, settled boolean, ids binary, counts binary, hashes binary"
 _KEPT = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept string"
 
 
@@ -127,27 +128,30 @@ def _send(docs: list[tuple[int, np.ndarray]], n_parts: int, width: int) -> Itera
     new[1:] = h[1:] != h[:-1]
     group = np.cumsum(new) - 1
     least = owner[np.flatnonzero(new)][group] if len(h) else owner
-    later = owner > least
-    for id_, mine in _by_owner(ids, owner[later], h[later]):
-        yield (int(id_) & 0xFFFFFFFF) % n_parts, int(id_), None, None, _pack(np.unique(mine))
+    again = np.zeros(len(h), bool)
+    again[1:] = ~new[1:] & (owner[1:] == owner[:-1])
+    later = (owner > least) & ~again
+    dest = _destination(ids.tolist(), n_parts)
+    yield from _packed(dest[owner[later]], True, ids, owner[later], h[later])
     h, owner = h[new], owner[new]
     part = ((h >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
+    yield from _packed(part.astype(np.int64), False, ids, owner, h)
+
+
+def _destination(ids: list[int], n_parts: int) -> np.ndarray:
+    """The partition that a document is dealt to: as the SQL function crc32 has it."""
+    return np.array([zlib.crc32(str(i).encode()) % n_parts for i in ids], np.int64)
+
+
+def _packed(part: np.ndarray, settled: bool, ids: np.ndarray, owner: np.ndarray, h: np.ndarray) -> Iterator[tuple]:
+    """One row for each part: the owners' ids, their numbers of windows, the windows."""
     order = np.lexsort((owner, part))
     h, owner, part = h[order], owner[order], part[order]
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True):
         if a < b:
             held, counts = np.unique(owner[a:b], return_counts=True)
-            yield int(part[a]), None, _ids(ids[held]), _numbers(counts), _pack(h[a:b])
-
-
-def _by_owner(ids: np.ndarray, owner: np.ndarray, h: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(owner, kind="stable")
-    owner, h = owner[order], h[order]
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    for a, b in zip([0, *cuts], [*cuts, len(owner)], strict=True):
-        if a < b:
-            yield ids[owner[a]], h[a:b]
+            yield int(part[a]), settled, _ids(ids[held]), _numbers(counts), _pack(h[a:b])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -155,8 +159,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-_SENT_ARROW = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
-_FLAGGED_ARROW = pa.schema([("id", pa.int64()), ("hashes", pa.binary())])
+_SENT_ARROW = pa.schema([("part", pa.int32()), ("settled", pa.bool_()), ("ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 _KEPT_ARROW = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
      ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())]
@@ -182,50 +185,55 @@ def _sender(n_parts: int, width: int):
     return run
 
 
-def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition: flags the windows that a smaller id holds too."""
-    ids, hashes = [], []
-    for batch in batches:
-        settled = []
-        for _, id_, some, counts, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if some is None:
-                settled.append((id_, blob))
-            else:
-                ids.append(np.repeat(_read_ids(some), _read_numbers(counts)))
-                hashes.append(_unpack(blob))
-        if settled:
-            yield _batch(settled, _FLAGGED_ARROW)
-    if not ids:
-        return
-    owner, h = np.concatenate(ids), np.concatenate(hashes)
-    ids.clear(), hashes.clear()
-    order = np.argsort(h)
-    h, owner = h[order], owner[order]
-    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    counts = np.diff(np.append(starts, len(h)))
-    flagged = owner > np.repeat(np.minimum.reduceat(owner, starts), counts)
-    known, rank = np.unique(owner[flagged], return_inverse=True)
-    rows = []
-    for id_, mine in _by_owner(known, rank, h[flagged]):
-        rows.append((int(id_), _pack(mine)))
-        if len(rows) >= 10_000:
-            yield _batch(rows, _FLAGGED_ARROW)
-            rows = []
-    if rows:
-        yield _batch(rows, _FLAGGED_ARROW)
+def _counter(n_parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One partition: sends on the windows that a smaller id holds too."""
+        ids, hashes = [], []
+        for batch in batches:
+            settled = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[1]:
+                    settled.append(row)
+                else:
+                    ids.append(np.repeat(_read_ids(row[2]), _read_numbers(row[3])))
+                    hashes.append(_unpack(row[4]))
+            if settled:
+                yield _batch(settled, _SENT_ARROW)
+        if not ids:
+            return
+        owner, h = np.concatenate(ids), np.concatenate(hashes)
+        ids.clear(), hashes.clear()
+        order = np.argsort(h)
+        h, owner = h[order], owner[order]
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        counts = np.diff(np.append(starts, len(h)))
+        flagged = owner > np.repeat(np.minimum.reduceat(owner, starts), counts)
+        known, rank = np.unique(owner[flagged], return_inverse=True)
+        rows = list(_packed(_destination(known.tolist(), n_parts)[rank], True, known, rank, h[flagged]))
+        for at in range(0, len(rows), 1000):
+            yield _batch(rows[at : at + 1000], _SENT_ARROW)
+
+    return run
 
 
 def _remover(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One partition: first the flagged windows of its documents, then the documents."""
+        flags: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             rows = []
-            for id_, text, blobs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for kind, id_, doc_id, text, ids, counts, blob in zip(*batch.columns, strict=True):
+                if not kind.as_py():
+                    ends = np.cumsum(_read_numbers(counts.as_py()).astype(np.int64))
+                    for key, some in zip(_read_ids(ids.as_py()).tolist(), np.split(_unpack(blob.as_py()), ends[:-1]), strict=True):
+                        flags.setdefault(key, []).append(some)
+                    continue
                 words = text.as_py().encode().split()
                 spans: list[dict] = []
                 removed = 0
-                if blobs.is_valid and len(words) >= width:
-                    flagged = np.unique(np.concatenate([_unpack(b.as_py()) for b in blobs.values]))
-                    at = np.flatnonzero(np.isin(window_hashes(_word_hashes(words), width) & _LOW, flagged))
+                flagged = flags.get(id_.as_py())
+                if flagged and len(words) >= width:
+                    at = np.flatnonzero(np.isin(window_hashes(_word_hashes(words), width) & _LOW, np.concatenate(flagged)))
                     if len(at):  # windows that overlap or touch make one interval
                         cuts = np.flatnonzero(np.diff(at) > width) + 1
                         starts, ends = at[[0, *cuts]], at[[*(cuts - 1), -1]] + width
@@ -236,8 +244,9 @@ def _remover(width: int):
                         spans = [{"start": s, "end": e} for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
                         removed = int(gone.sum())
                         words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                rows.append((id_, len(words) + removed, removed, spans, b" ".join(words).decode()))
-            yield _batch(rows, _KEPT_ARROW)
+                rows.append((doc_id.as_py(), len(words) + removed, removed, spans, b" ".join(words).decode()))
+            if rows:
+                yield _batch(rows, _KEPT_ARROW)
 
     return run
 
@@ -259,7 +268,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     key = F.coalesce("doc_id", F.lit(NULL_ID))
     sent = given.select(key.alias("id"), "text").mapInArrow(_sender(n_parts, width), _SENT)
-    flagged = sent.repartitionById(n_parts, F.col("part")).mapInArrow(_counter, _FLAGGED)
-    flagged = flagged.groupBy("id").agg(F.collect_list("hashes").alias("hashes"))
-    joined = given.withColumn("id", key).join(flagged, "id", "left").select("doc_id", "text", "hashes")
-    return joined.mapInArrow(_remover(width), _KEPT)
+    flagged = sent.repartitionById(n_parts, F.col("part")).mapInArrow(_counter(n_parts), _SENT)
+    own = given.select(F.pmod(F.crc32(key.cast("string")), F.lit(n_parts)).cast("int").alias("part"), F.lit(1).alias("kind"), key.alias("id"), "doc_id", "text")
+    both = own.unionByName(flagged.drop("settled").withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    dealt = both.repartitionById(n_parts, F.col("part")).sortWithinPartitions("kind")
+    return dealt.select("kind", "id", "doc_id", "text", "ids", "counts", "hashes").mapInArrow(_remover(width), _KEPT)
