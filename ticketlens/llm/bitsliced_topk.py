@@ -8,8 +8,9 @@ rows are then found from the most significant slice of the sum downward: rows
 that are certain to be in, rows on the border; the border is resolved by the
 smaller id.
 
-Query blocks meet index blocks of bounded size; neither side is broadcast and
-only k rows per query and block leave a task.
+Blocks of the index are small (a bit per component and slice, no vectors) and
+query blocks large, so that an index block is sent to few tasks; neither side
+is broadcast and only k rows per query and block leave a task.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from ticketlens.llm.common import written
 SCALE = 1024
 K = 10
 #: Vectors in a block of the index and queries in a block of queries, about.
-INDEX_BLOCK = 32768
-QUERY_BLOCK = 64
+INDEX_BLOCK = 16384
+QUERY_BLOCK = 8192
 #: Quantised components up to this size; sums of 2**11 products stay exact in 64 bits.
 LIMIT = 1 << 25
 
@@ -126,30 +127,33 @@ def top_rows(total: np.ndarray, alive: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([_bits(sure), _bits(border)[: k - n_sure]])
 
 
-def search(x: np.ndarray, ids: np.ndarray, bitmaps: np.ndarray, low: int, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple]:
-    """query id, vector id and score of the block's k best rows for each query (rows in order of id)."""
-    words = bitmaps.shape[2]
+def _values(total: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sums of some rows, read from the slices."""
+    bits = (total[:, rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)
+    return (bits << np.arange(len(total), dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64).astype(np.int64)
+
+
+def search(ids: np.ndarray, bitmaps: np.ndarray, low: int, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple]:
+    """query id, vector ids and scores of the block's k best rows for each query (rows in order of id)."""
+    words = -(-len(ids) // 64)
     alive_all = np.packbits(np.arange(words * 64) < len(ids), bitorder="little").view("<u8")
     for q, query_id in zip(queries, query_ids.tolist(), strict=True):
-        plus, minus = Sum(words), Sum(words)
-        q_list = q.tolist()
-        for d, v in enumerate(q_list):
-            into, size, bit = plus if v > 0 else minus, abs(v), 0
+        sums = Sum(words), Sum(words)
+        for d, v in enumerate(q.tolist()):
+            into, size, bit = sums[v < 0], abs(v), 0
             while size:
                 if size & 1:
                     for b in range(bitmaps.shape[1]):
                         into.add(bitmaps[d, b], bit + b)
                 size >>= 1
                 bit += 1
-        total = _less(plus.total(), minus.total())
-        alive = alive_all
+        plus, minus = (s.total() for s in sums)
         own = np.flatnonzero(ids == query_id)
-        if len(own):
-            alive = alive.copy()
-            np.bitwise_and.at(alive, own // 64, ~(np.uint64(1) << (own % 64).astype(np.uint64)))
-        rows = top_rows(total, alive, k)
+        alive = alive_all.copy()
+        np.bitwise_and.at(alive, own // 64, ~(np.uint64(1) << (own % 64).astype(np.uint64)))
+        rows = top_rows(_less(plus, minus), alive, k)
         if len(rows):
-            yield query_id, ids[rows], x[rows] @ q
+            yield query_id, ids[rows], _values(plus, rows) - _values(minus, rows) + low * int(q.sum())
 
 
 def _less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -180,31 +184,31 @@ def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
             bitmaps, low = slices(x)
-            values = [[dim.as_py()], [block.as_py()], [ids], [x.reshape(-1)], [low], [bitmaps.shape[1]], [bitmaps.tobytes()]]
+            values = [[dim.as_py()], [block.as_py()], [ids], [low], [bitmaps.shape[1]], [bitmaps.tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, _INDEX_TYPES, strict=True)], names=_INDEX_NAMES)
 
 
-_INDEX = "dim int, block long, ids array<long>, xs array<int>, low long, bits int, bitmaps binary"
+_INDEX = "dim int, block long, ids array<long>, low long, bits int, bitmaps binary"
 _INDEX_NAMES = [c.split()[0] for c in _INDEX.split(", ")]
-_INDEX_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.binary()]
+_INDEX_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary()]
 
 
 def _searcher(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                dim, ids, x, low, bits, bitmaps, qids, q = (batch.column(c)[row] for c in range(8))
-                dim, ids = dim.as_py(), ids.values.to_numpy()
-                x = x.values.to_numpy().astype(np.int64).reshape(len(ids), dim)
-                bitmaps = np.frombuffer(bitmaps.as_py(), "<u8").reshape(dim, bits.as_py(), -(-len(ids) // 64))
-                q = _matrix(q.values).astype(np.int64)
-                found = list(search(x, ids, bitmaps, low.as_py(), q, qids.values.to_numpy(), k))
-                if found:
-                    counts = [len(v) for _, v, _ in found]
-                    cols = [np.repeat([f[0] for f in found], counts), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], schema=schema)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """One block of the index with one block of queries."""
+        out = []
+        for index in left.to_pylist():
+            ids = np.array(index["ids"], np.int64)
+            bitmaps = np.frombuffer(index["bitmaps"], "<u8").reshape(index["dim"], index["bits"], -(-len(ids) // 64))
+            for asked in right.to_batches():
+                for qids, qs in zip(asked.column("qids"), asked.column("qs"), strict=True):
+                    q = _matrix(qs.values).astype(np.int64)
+                    out += search(ids, bitmaps, index["low"], q, qids.values.to_numpy(), k)
+        counts = [len(v) for _, v, _ in out]
+        cols = [np.repeat([f[0] for f in out], counts), *(np.concatenate([f[c] for f in out]) for c in (1, 2))] if out else [[]] * 3
+        return pa.table([pa.array(c, pa.int64()) for c in cols], schema=schema)
 
     return run
 
@@ -229,12 +233,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     """
     index = written(_blocks(quantised(vectors, id_col, vector_col), index_block).mapInArrow(_indexer, _INDEX), "index")
     asked = _blocks(quantised(queries, id_col, vector_col).dropDuplicates(["vec_id"]), query_block)
-    asked = asked.select("dim", F.col("block").alias("asked"), F.col("ids").alias("qids"), F.col("xs").alias("qs"))
-    # each query block is sent to every index block of its vectors' length
-    sizes = index.groupBy("dim").agg(F.collect_list("block").alias("to"))
-    sent = asked.join(sizes, "dim").select("dim", "asked", "qids", "qs", F.explode("to").alias("block"))
-    met = index.join(sent, ["dim", "block"]).repartition("dim", "block", "asked")
-    scored = met.select("dim", "ids", "xs", "low", "bits", "bitmaps", "qids", "qs").mapInArrow(_searcher(k), _SCORED)
+    asked = written(asked.select("dim", F.col("block").alias("asked"), F.col("ids").alias("qids"), F.col("xs").alias("qs")), "queries")
+    # each query block meets every index block of its vectors' length
+    of_index, of_queries = (df.groupBy("dim").agg(F.collect_list(c).alias(to)) for df, c, to in ((index, "block", "to"), (asked, "asked", "by")))
+    sent = asked.join(of_index, "dim").select("dim", "asked", "qids", "qs", F.explode("to").alias("block"))
+    held = index.join(of_queries, "dim").select(*index.columns, F.explode("by").alias("asked"))
+    cell = ["dim", "block", "asked"]
+    scored = held.groupBy(*cell).cogroup(sent.groupBy(*cell)).applyInArrow(_searcher(k), _SCORED)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
