@@ -132,3 +132,13 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         (~failed & (score >= threshold)).alias("kept"),
     )
     return rows.select(*docs.columns, judged.alias("quality"))
+
+
+def keep(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:
+    """The documents whose verdict is "kept"; same columns.
+
+    The filter also asks for a row number, which keeps the optimizer from
+    moving it below the verdict's steps and computing them again in each other.
+    """
+    judged = judge(docs, trusted, **options).withColumn("__row", F.monotonically_increasing_id())
+    return judged.where("quality.kept and __row >= 0").select(*docs.columns)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Largest model file that is broadcast to the tasks.
 MAX_MODEL_BYTES = 64 << 20
-_PATHS = 300_000
+_PATHS = 900_000
 _FOLLOWS = 1 << 20
 _INF = float("inf")
 
@@ -109,11 +109,14 @@ class Transducer:
             if any(c not in self.arcs for p in self.arcs for c in p):
                 raise ValueError("a piece holds a character that has no piece of its own")
         self.lengths = [len(p) for p, _, _ in self.pieces]
-        #: a piece's longest proper prefix that is a piece; the longest piece that begins with three characters
+        #: a piece's longest proper prefix that is a piece; the pieces by their characters (0: the id)
         self.shorter: dict[int, int] = {}
-        self.reach: dict[str, int] = {}
+        self.trie: dict = {}
         for p, i in self.arcs.items():
-            self.reach[p[:3]] = max(self.reach.get(p[:3], 0), len(p), 2)
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[0] = i
             prefix_ids = (self.arcs.get(p[:j]) for j in range(len(p) - 1, 0, -1))
             found = next((u for u in prefix_ids if u is not None), None)
             if found is not None:
@@ -208,12 +211,14 @@ class Transducer:
 
     def _longest_arc(self, s: str, at: int, n: int) -> int:
         """The longest piece from here; -1 (byte fallback) if there is none."""
-        arcs = self.arcs
-        for j in range(min(n, at + self.reach.get(s[at : at + 3], 2)), at, -1):
-            u = arcs.get(s[at:j])
-            if u is not None:
-                return u
-        return -1
+        node, best = self.trie, -1
+        while at < n:
+            node = node.get(s[at])
+            if node is None:
+                break
+            best = node.get(0, best)
+            at += 1
+        return best
 
     def _ids(self, s: str, back: list[tuple[int, int]]) -> list[int]:
         out, j = [], len(s)
