@@ -20,7 +20,7 @@ PIECES = "piece_bpe_32k.model"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the target likelihood go."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality.judge(docs, trusted).where("quality.kept").drop("quality")
+    return quality.keep(docs, trusted)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
