@@ -37,7 +37,7 @@ MARGIN = 8.0
 _TAGS = 1 + 2 * len(KINDS)  # outside; first and further characters of each kind
 _CHARS = 132
 _HIDDEN, _EMBED = 16, 12
-_MARKS = re.compile("[0-9@]")
+_MARKS = re.compile("[0-9@]+")
 
 
 def _codes(text: str) -> np.ndarray:

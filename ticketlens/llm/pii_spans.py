@@ -12,9 +12,9 @@ import re
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+# possessive runs and a look behind keep the searches linear
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")
 _NUMBER = re.compile(r"[0-9]+")
 _DIGITS = re.compile(r"[0-9]+(?:[ -][0-9]+)*")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+")

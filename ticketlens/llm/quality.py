@@ -101,8 +101,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     return [round(GRAIN * (share(t, target) - share(r, corpus))) for t, r in (counts.get(c, (0, 0)) for c in range(CELLS))]
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The input with the struct ``quality``: counts, base_failed, score and kept.
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, to: str = "quality") -> DataFrame:
+    """The input with the struct ``to``: counts, base_failed, score and kept.
 
     A null or empty text has no words (all counts 0) and fails the base rules.
     The score of a text without words is 0.  Without trusted documents every
@@ -131,7 +131,7 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         score.alias("score"),
         (~failed & (score >= threshold)).alias("kept"),
     )
-    return rows.select(*docs.columns, judged.alias("quality"))
+    return rows.select(*[c for c in docs.columns if c != to], judged.alias(to))
 
 
 def keep(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:
@@ -140,5 +140,5 @@ def keep(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:
     The filter also asks for a row number, which keeps the optimizer from
     moving it below the verdict's steps and computing them again in each other.
     """
-    judged = judge(docs, trusted, **options).withColumn("__row", F.monotonically_increasing_id())
-    return judged.where("quality.kept and __row >= 0").select(*docs.columns)
+    judged = judge(docs, trusted, to="__verdict", **options).withColumn("__row", F.monotonically_increasing_id())
+    return judged.where("__verdict.kept and __row >= 0").select(*docs.columns)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Largest model file that is broadcast to the tasks.
 MAX_MODEL_BYTES = 64 << 20
-_PATHS = 900_000
+_PATHS = 300_000
 _FOLLOWS = 1 << 20
 _INF = float("inf")
 

@@ -98,7 +98,7 @@ def _within(planes: np.ndarray, other: np.ndarray, shift: int, at: np.ndarray, a
     at: the words to look at; alive: for each, the rows that have a partner.
     """
     word, bit = divmod(shift, 64)
-    n_counters = radius.bit_length()
+    n_counters = max(1, radius.bit_length())
     counters = [np.zeros(len(at), np.uint64) for _ in range(n_counters)]
     over = ~alive
     for b in range(64):
@@ -303,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents whose id names their group; of rows that repeat id and fingerprint, one.
+    """The documents whose id names their group; of rows that repeat id and text, one.
 
     Same columns as the input; a document with a null id stays if it is alone
     in having none in its group.
@@ -311,4 +311,4 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     found = near_duplicates(docs, shingle=shingle, radius=radius)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__row = 1").drop("__row")
+    return kept.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))).where("__row = 1").drop("__row")
