@@ -32,19 +32,23 @@ def _mllib_jar() -> str | None:
 
 @functools.lru_cache(maxsize=16)
 def load(language: str) -> tuple[str, ...]:
-    """Words of one Spark default stop list; empty when unavailable.
+    """Words of one of Spark's default stop lists.
 
-    An unavailable list behaves as "remove nothing".
+    Read from the jar beside the Python package, else through the running
+    session; an absent list is an error, so results do not depend on how
+    Spark is installed.
     """
-    jar = _mllib_jar()
-    if jar is None:
-        return ()
-    try:
+    jar, words = _mllib_jar(), ()
+    if jar is not None:
         with zipfile.ZipFile(jar) as archive:
-            raw = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    except (KeyError, OSError, zipfile.BadZipFile):
-        return ()
-    return tuple(word for word in raw.decode("utf-8").split() if word)
+            words = tuple(archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split())
+    else:
+        from pyspark.ml.feature import StopWordsRemover
+
+        words = tuple(StopWordsRemover.loadDefaultStopWords(language))
+    if not words:
+        raise RuntimeError(f"the stop list '{language}' is empty or missing")
+    return words
 
 
 def lists_by_prefix() -> list[tuple[str, tuple[str, ...]]]:

@@ -54,11 +54,16 @@ def _nfkc_value(value):
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode NFKC, Arrow-batched; ASCII rows are passed through."""
+def _nfkc_udf(text: pd.Series) -> pd.Series:
     return text.map(_nfkc_value)
 
 
+def nfkc(text: Column) -> Column:
+    """Unicode NFKC; only rows with a non-ASCII character can change and cross to Python."""
+    changes = F.when(F.octet_length(text) > F.length(text), text)
+    return F.coalesce(_nfkc_udf(changes), text)
+
+
 def unicode_strip(col: Column) -> Column:
     """Python ``str.strip()``: removes Unicode white space at both ends."""
     return F.regexp_replace(col, EDGE_SPACE_PATTERN, "")

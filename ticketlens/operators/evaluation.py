@@ -33,13 +33,19 @@ def _safe_div(num: Column, den: Column) -> Column:
 
 
 def outcome_cube(outcomes: DataFrame, language_col: str | None = "language") -> DataFrame:
-    """(fold, language, y, yhat, n); language normalised for slicing."""
+    """(fold, language, y, yhat, n); language normalised for slicing, rows without a target left out."""
     lang = tx.language_for_slices(F.col(language_col)) if language_col else F.lit(None).cast("string")
+    outcomes = outcomes.where(F.col("y").isNotNull())
     return outcomes.groupBy(F.col("fold"), lang.alias("language"), F.col("y"), F.col("yhat")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
+def missing_targets(outcomes: DataFrame) -> DataFrame:
+    """(fold, n_missing_target, n): rows that the metrics leave out, by fold."""
+    return outcomes.groupBy("fold").agg(F.count_if(F.col("y").isNull()).alias("n_missing_target"), F.count(F.lit(1)).alias("n"))
+
+
 def _label_ids(labels):
     return [int(i) for i, _ in labels]
 

@@ -79,11 +79,10 @@ def tfidf_l2(tf: DataFrame, idf: DataFrame, id_col: str = "id") -> DataFrame:
     join; rows whose terms are all dropped simply have no entries.
     """
     raw = tf.join(idf.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    # Norms by a partial + final aggregate (one row per document leaves each
-    # task) joined back on the id, instead of a window that would move and
-    # sort every (document, term) row by id.
-    norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return raw.join(norms, id_col).select(id_col, "term", "tf", (F.col("w") / F.col("_norm")).alias("weight"))
+    # One pass over the joined rows: the norm is a window sum by document, so
+    # the join with idf is not computed a second time for the norms.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return raw.select(id_col, "term", "tf", (F.col("w") / norm).alias("weight"))
 
 
 def vocabulary_index(idf: DataFrame, checkpoint: bool = True) -> DataFrame:

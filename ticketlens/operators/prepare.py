@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import spread
 from ..sources.tickets import require_columns, with_optional_columns
 
 COMBINED = "ticket_text"
@@ -32,8 +31,6 @@ def prepare_tickets(
     """
     require_columns(df, (body,))
     out = with_optional_columns(df, subject, language)
-    if partition_by is not None:
-        out = spread(out)  # parallel Python step even for single-split inputs
     lang_for_text = tx.language_for_text(F.col(language))
     out = out.withColumn(COMBINED, tx.combine_text(F.col(subject), F.col(body)))
     # each step is its own column so no expression is evaluated twice per row

@@ -17,13 +17,15 @@ Serving pipeline (one per task, persisted with ``PipelineModel.save``):
 
 from __future__ import annotations
 
+import warnings
+
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -47,14 +49,13 @@ from pyspark.sql import functions as F
 from ..operators import features as fe
 from ..operators import prepare as pr
 from ..operators import scoring as sc
-from ..session import spread
 
 # Model settings per algorithm and task.
 C_BY_ALGORITHM_AND_TASK = {
     "logreg": {"nominal": 2.0, "ordinal": 2.0},
     "linear_svc": {"nominal": 16.0, "ordinal": 12.0},
 }
-MAX_ITER = 100
+MAX_ITER = 5000
 TOL = 1e-4  # the stopping tolerance of the reference's solvers (library default)
 NUM_FEATURES = 1 << 18
 
@@ -129,24 +130,49 @@ def classifier(algorithm: str, kind: str, n_classes: int, total_weight: float, m
             tol=TOL,
             family="auto",
         )
-    svc = LinearSVC(
-        featuresCol="features",
-        labelCol="label_id",
-        weightCol="class_weight",
-        regParam=reg,
-        standardization=False,
-        maxIter=max_iter,
-        tol=TOL,
-    )
-    if n_classes <= 2:
-        return svc
-    # the k binary fits are independent jobs: let OneVsRest submit them together
-    return OneVsRest(
-        classifier=svc, featuresCol="features", labelCol="label_id", weightCol="class_weight",
-        parallelism=min(n_classes, 8),
+    return _svc(reg, max_iter)
+
+
+def _svc(reg: float, max_iter: int, label_col: str = "label_id"):
+    return LinearSVC(
+        featuresCol="features", labelCol=label_col, weightCol="class_weight",
+        regParam=reg, standardization=False, maxIter=max_iter, tol=TOL,
     )
 
 
+def fit_one_vs_rest(vectors: DataFrame, kind: str, n_classes: int, max_iter: int = MAX_ITER, parallelism: int = 1):
+    """One binary SVM per class on the shared vectors.
+
+    In the sub-problem of class c its rows weigh n / (k * n_c) and all others
+    1; the penalty follows from that sub-problem's own sum of weights.
+    """
+    counts = {int(r[0]): int(r[1]) for r in vectors.groupBy("label_id").count().collect()}  # one row per class
+    n, c_value = sum(counts.values()), C_BY_ALGORITHM_AND_TASK["linear_svc"][kind]
+
+    def one(c: int):
+        held = counts.get(c, 0)
+        weight = n / (n_classes * held) if held else 1.0
+        mine = F.col("label_id") == c
+        rows = vectors.select("features", mine.cast("double").alias("label_id"), F.when(mine, weight).otherwise(1.0).alias("class_weight"))
+        return _svc(1.0 / (c_value * (weight * held + n - held)), max_iter).fit(rows)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = list(pool.map(one, range(n_classes)))
+    shape = OneVsRest(classifier=_svc(0.0, max_iter), featuresCol="features", labelCol="label_id")
+    return shape._copyValues(OneVsRestModel(models=models))
+
+
+def iterations(model: PipelineModel, max_iter: int = MAX_ITER) -> tuple[int, bool]:
+    """Most iterations of the pipeline's solvers, and whether all stopped by tolerance."""
+    used = [0]
+    for stage in model.stages:
+        for part in getattr(stage, "models", [stage]):
+            if getattr(part, "hasSummary", False):
+                summary = part.summary() if callable(part.summary) else part.summary
+                used.append(int(summary.totalIterations))
+    return max(used), max(used) < max_iter
+
+
 class LengthScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """length / max(max training length, 1.0), fitted into a SQLTransformer."""
 
@@ -205,6 +231,7 @@ def fit_task(
     kind: str | None = None,
     length_feature: bool = False,
     max_features: int | None = None,
+    parallelism: int = 4,
 ):
     """Fit one task on the rows with a target; returns (PipelineModel, labels).
 
@@ -212,11 +239,10 @@ def fit_task(
     a ``grams`` column), which lets cross-validation prepare text once.
     """
     if target not in rows.columns:
-        raise KeyError(f"Missing target column: {target}")
+        raise KeyError(f"no target column '{target}'")
     labelled = rows.where(F.col(target).isNotNull())
     if not labelled.limit(1).collect():
-        raise ValueError(f"No rows with non-null target values for '{target}'.")
-    labelled = spread(labelled)
+        raise ValueError(f"no row has a value for the target '{target}'")
     text_stage = TicketTextPrep() if with_text else None
     if text_stage is not None:
         # The fit makes several passes (label codes, class counts, IDF, the
@@ -237,8 +263,14 @@ def fit_task(
         .select("features", "label_id", "class_weight")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    model = classifier(algorithm, kind, len(labels), total_weight, max_iter).fit(vectors)
+    if algorithm == "linear_svc" and len(labels) > 2:
+        model = fit_one_vs_rest(vectors, kind, len(labels), max_iter, parallelism)
+    else:
+        model = classifier(algorithm, kind, len(labels), total_weight, max_iter).fit(vectors)
     vectors.unpersist()
+    used, converged = iterations(PipelineModel([model]), max_iter)
+    if not converged:
+        warnings.warn(f"the fit of '{target}' stopped at its limit of {used} iterations", stacklevel=2)
     stages = ([text_stage] if text_stage is not None else []) + feature_model.stages + [
         model,
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels),
@@ -273,7 +305,7 @@ def cross_validate(
     each fold's fit is a set of distributed Spark jobs.
     """
     if n_folds < 1:
-        raise ValueError("At least one fold evaluation is required.")
+        raise ValueError("n_folds must be 1 or more")
     base = prepared_rows.where(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     indexer = target_indexer(target, order)
     if isinstance(indexer, StringIndexer):

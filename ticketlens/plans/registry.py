@@ -795,7 +795,7 @@ def q_ticket_scan(spark, d):
     lambda: "SELECT 'documents' AS dataset_id, CAST(count(*) AS BIGINT) AS dataset_row_count FROM documents",
 )
 def q_dataset_profile(spark, d):
-    return tk.dataset_profile(tables.table(spark, d, "documents")).select("dataset_id", "dataset_row_count")
+    return tk.dataset_profile(tables.table(spark, d, "documents"), f"{d}/documents.parquet").select("dataset_id", "dataset_row_count")
 
 
 @register(
@@ -821,9 +821,9 @@ from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 from ..streaming import triage as st  # noqa: E402
 from . import models as ml  # noqa: E402
 
-# Hashed feature space of the registered fits (a parameter of the model,
-# independent of the data size).
-ML_FEATURES = 1 << 16
+# Solver iterations of the registered fits; the library's default is 5000. The
+# fits say in ``iterations`` and ``converged`` whether they stopped here.
+FIT_LIMIT = 100
 
 
 def _ml_tickets(spark, d):
@@ -835,20 +835,35 @@ def _ml_tickets(spark, d):
 def q_fit_logreg(spark, d):
     """Multinomial logistic regression on the language target, fitted on all rows."""
     rows = _ml_tickets(spark, d)
-    model, labels = ml.fit_task(rows, "lang", "logreg", num_features=ML_FEATURES)
-    return model.transform(rows).select("id", F.col("lang").alias("label"), "predicted_label")
+    model, labels = ml.fit_task(rows, "lang", "logreg", max_iter=FIT_LIMIT)
+    return _with_convergence(model.transform(rows).select("id", F.col("lang").alias("label"), "predicted_label"), model)
+
+
+def _with_convergence(df: DataFrame, model) -> DataFrame:
+    used, converged = ml.iterations(model, FIT_LIMIT)
+    return df.withColumn("iterations", F.lit(used)).withColumn("converged", F.lit(converged))
+
+
+@register("fit_linear_svc_multiclass")
+def q_fit_linear_svc_multiclass(spark, d):
+    """One-vs-rest linear SVM on the language target, per-class weights, fitted on all rows."""
+    rows = _ml_tickets(spark, d)
+    model, labels = ml.fit_task(rows, "lang", "linear_svc", max_iter=FIT_LIMIT)
+    scored = ml.predictions(model, rows, labels)
+    return _with_convergence(scored.select("id", F.col("lang").alias("label"), F.col("triage.label").alias("predicted_label"),
+        F.col("triage.runner_up_label").alias("runner_up_label"), F.col("triage.margin_gap").alias("margin_gap")), model)
 
 
 @register("fit_linear_svc")
 def q_fit_linear_svc(spark, d):
-    """Binary linear SVM on the quality target (labelled rows only)."""
+    """Binary linear SVM on the quality target, applied to every ticket."""
     rows = _ml_tickets(spark, d)
-    model, labels = ml.fit_task(rows, "quality", "linear_svc", num_features=ML_FEATURES)
-    scored = ml.predictions(model, rows.where(F.col("quality").isNotNull()), labels)
-    return scored.select(
+    model, labels = ml.fit_task(rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
+    scored = ml.predictions(model, rows, labels)
+    return _with_convergence(scored.select(
         "id", F.col("quality").alias("label"), "predicted_label",
         F.col("triage.runner_up_label").alias("runner_up_label"), F.col("triage.margin_gap").alias("margin_gap"),
-    )
+    ), model)
 
 
 def _cv(spark, d, target="lang", algorithm="logreg"):
@@ -856,7 +871,7 @@ def _cv(spark, d, target="lang", algorithm="logreg"):
     if key not in V._SHARED:
         folds = V.doc_folds(spark, d).withColumn("lang", F.col("language"))
         prepared = pr.with_grams(pr.prepare_tickets(folds, partition_by="id"))
-        out, labels = ml.cross_validate(prepared, target, algorithm, num_features=ML_FEATURES)
+        out, labels = ml.cross_validate(prepared, target, algorithm, max_iter=FIT_LIMIT)
         V._SHARED[key] = out.persist(StorageLevel.MEMORY_AND_DISK)
         V._SHARED[key + ("labels",)] = labels
     return V._SHARED[key], V._SHARED[key + ("labels",)]
@@ -882,20 +897,23 @@ def q_triage_batch(spark, d):
     """Both task models applied to every ticket: label, runner-up and margin per task."""
     rows = _ml_tickets(spark, d)
     with ThreadPoolExecutor(max_workers=2) as pool:  # two independent fits overlap
-        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", num_features=ML_FEATURES)
-        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", num_features=ML_FEATURES)
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", max_iter=FIT_LIMIT)
         (quality, q_labels), (lang, l_labels) = fq.result(), fl.result()
-    # prepare the text once, then run each task's feature + model stages
-    prepared = pr.with_grams(pr.prepare_tickets(V.tickets(spark, d, False), partition_by="id"))
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    out = prepared.select("id")
-    for name, model, labels in (("quality", quality, q_labels), ("lang", lang, l_labels)):
-        tail = PipelineModelTail(model)
-        scored = ml.predictions(tail, prepared, labels).select("id", F.col("triage").alias(name))
-        out = out.join(scored, "id")
+    prepared = ml.TicketTextPrep().transform(V.tickets(spark, d, False))
+    return _apply_tasks(prepared, {"quality": (quality, q_labels), "lang": (lang, l_labels)})
+
+
+def _apply_tasks(prepared: DataFrame, models: dict) -> DataFrame:
+    """Every task's model on the one prepared row: no join, so null and repeated ids stay as they are."""
+    out = prepared
+    for name, (model, labels) in models.items():
+        before = out.columns
+        scored = ml.predictions(PipelineModelTail(model), out, labels)
+        out = scored.withColumnRenamed("triage", name).select(*before, name)
     return out.select(
         "id",
-        *[F.col(f"{t}.{f}").alias(f"{t}_{f}") for t in ("quality", "lang") for f in ("label", "runner_up_label", "margin_gap")],
+        *[F.col(f"{t}.{f}").alias(f"{t}_{f}") for t in models for f in ("label", "runner_up_label", "margin_gap")],
     )
 
 
@@ -912,7 +930,7 @@ def q_model_roundtrip(spark, d):
     from pyspark.ml import PipelineModel
 
     rows = _ml_tickets(spark, d)
-    model, _ = ml.fit_task(rows, "lang", "logreg", num_features=ML_FEATURES)
+    model, _ = ml.fit_task(rows, "lang", "logreg", max_iter=FIT_LIMIT)
     path = scratch_path(spark, "model-lang")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -1000,6 +1018,20 @@ def q_zero_support_language(spark, d):
     return ev.cv_language(cube, QUALITY_LABELS)
 
 
+def _missing_targets_sql() -> str:
+    return f"""WITH {S.TICKETS},
+doc_folds AS {S.folds_sql('tickets', 'id', V.DOC_STRATA)}
+SELECT f.fold, CAST(count(*) FILTER (l.quality IS NULL) AS BIGINT) AS n_missing_target, CAST(count(*) AS BIGINT) AS n
+FROM doc_folds f LEFT JOIN labels l ON l.doc_id = f.id GROUP BY f.fold"""
+
+
+@register("missing_targets", _missing_targets_sql)
+def q_missing_targets(spark, d):
+    """Documents without a quality target, by fold: what fit and evaluation leave out."""
+    labels = tables.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
+    return ev.missing_targets(V.doc_folds(spark, d).select("id", "fold").join(labels, "id", "left"))
+
+
 @register(
     "cv_idf_by_subtraction",
     lambda: f"""WITH {_doc_fold_sql()},
@@ -1024,20 +1056,12 @@ def q_streaming_model_triage(spark, d):
     the serving pipeline, no oracle (model fits)."""
     rows = _ml_tickets(spark, d)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", num_features=ML_FEATURES)
-        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", num_features=ML_FEATURES)
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", max_iter=FIT_LIMIT)
         models = {"quality": fq.result(), "lang": fl.result()}
 
     def score(batch: DataFrame) -> DataFrame:
-        prepared = ml.TicketTextPrep().transform(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        out = prepared.select("id")
-        for name, (model, labels) in models.items():
-            scored = ml.predictions(PipelineModelTail(model), prepared, labels)
-            out = out.join(scored.select("id", F.col("triage").alias(name)), "id")
-        return out.select(
-            "id",
-            *[F.col(f"{t}.{f}").alias(f"{t}_{f}") for t in models for f in ("label", "runner_up_label", "margin_gap")],
-        )
+        return _apply_tasks(ml.TicketTextPrep().transform(batch), models)
 
     source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "model-requests"))
     accepted, _ = st.run_triage_stream(spark, source, score)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,13 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a folder under the system
-    temporary directory is chosen.
+    as is. Only a local session may leave it unset and gets a folder under the
+    system temporary directory; a cluster's machines do not share that one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not current:
             current = tempfile.mkdtemp(prefix="ticketlens-ckpt-")
         sc.setCheckpointDir(current)
@@ -68,27 +69,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin the rows over the cluster when the input has fewer
-    partitions than cores (e.g. a file with one row group); otherwise a no-op.
-
-    Large inputs already arrive in many splits, so this adds no shuffle there.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,10 +72,14 @@ def validate_requests(df: DataFrame) -> DataFrame:
     return out.withColumn("reason", reason).withColumn("accepted", F.col("reason").isNull())
 
 
-def dataset_profile(df: DataFrame) -> DataFrame:
-    """Dataset id (file stem), path and row count per input file."""
-    path = F.col("_metadata.file_path")
-    stem = F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
-    return df.select(path.alias("dataset_path"), stem.alias("dataset_id")).groupBy("dataset_id", "dataset_path").agg(
-        F.count(F.lit(1)).alias("dataset_row_count")
+def dataset_profile(df: DataFrame, path: str) -> DataFrame:
+    """Dataset id (stem of the given path), path and row count: one row, however many files lie there."""
+    stem = re.sub(r"\.[^./]*$", "", path.rstrip("/").rsplit("/", 1)[-1])
+    return df.agg(F.count(F.lit(1)).alias("dataset_row_count")).select(
+        F.lit(stem).alias("dataset_id"), F.lit(path).alias("dataset_path"), "dataset_row_count"
     )
+
+
+def file_row_counts(df: DataFrame) -> DataFrame:
+    """Rows of each input file of a dataset."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
