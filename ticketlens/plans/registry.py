@@ -828,7 +828,9 @@ FIT_LIMIT = 100
 
 def _ml_tickets(spark, d):
     """Tickets with two targets: ``quality`` (binary, mostly missing) and ``lang`` (4 classes)."""
-    return V.tickets(spark, d, True).withColumn("lang", F.col("language"))
+    rows = V.tickets(spark, d, True).withColumn("lang", F.col("language"))
+    # a solver's pass runs on as many tasks as there are partitions, whatever the files are
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @register("fit_logreg")
