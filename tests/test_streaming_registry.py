@@ -19,6 +19,7 @@ FAST = [
     "linear_scores", "top2_margin", "run_metrics", "headline_metrics", "leaderboard", "promoted_runs",
     "ticket_scan", "dataset_profile", "confusion_unpivot", "streaming_triage", "language_norm",
     "zero_support_metrics", "zero_support_language", "missing_targets", "cv_idf_by_subtraction",
+    "promotion_mismatches", "triage_requests", "fit_svc_checks", "cv_fold_checks",
 ]
 
 
@@ -41,7 +42,7 @@ def con(sf_dir):
 def test_every_query_has_oracle_or_is_a_fit():
     q, o = ({n: f for n, f in d.items() if n != "pipeline" and not n.startswith("op")} for d in (entry.queries(), entry.oracle_sql()))
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"fit_logreg", "fit_linear_svc", "fit_linear_svc_multiclass", "cv_predictions", "cv_model_metrics", "triage_batch",
+    assert set(q) - set(o) == {"fit_logreg", "fit_linear_svc", "fit_linear_svc_multiclass", "fit_linear_svc_ordinal", "cv_predictions", "cv_predictions_svc", "cv_model_metrics", "triage_batch",
                                "model_roundtrip", "streaming_model_triage"}
 
 

@@ -12,20 +12,21 @@ Serving pipeline (one per task, persisted with ``PipelineModel.save``):
   bucket and 0 for buckets above max_df — the smoothed IDF with pruning.
 * Targets are indexed and weighted outside the pipeline (training only), so
   the serving path never needs a target column.
-* C maps to ``regParam = 1 / (C · Σw)``; with balanced weights Σw = n.
+* ``solver`` finds the coefficients; Spark ML's own model classes carry them.
+  The penalty is 1 / (C · Σw); with balanced weights Σw = n.
 """
 
 from __future__ import annotations
 
+import uuid
 import warnings
-
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegressionModel, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -39,7 +40,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -49,6 +50,7 @@ from pyspark.sql import functions as F
 from ..operators import features as fe
 from ..operators import prepare as pr
 from ..operators import scoring as sc
+from . import solver as so
 
 # Model settings per algorithm and task.
 C_BY_ALGORITHM_AND_TASK = {
@@ -105,72 +107,67 @@ def target_indexer(target: str, order=None):
     return StringIndexerModel.from_labels(list(order), inputCol=target, outputCol="label_id", handleInvalid="error")
 
 
-def with_balanced_weights(df: DataFrame, label_col: str = "label_id", weight_col: str = "class_weight"):
-    """weight = n / (k · n_c); class counts are k rows (bounded by the classes)."""
-    counts = {int(r[0]): int(r[1]) for r in df.groupBy(label_col).count().collect()}
-    n, k = sum(counts.values()), len(counts)
-    expr = F.lit(1.0)
-    for cls, cnt in counts.items():
-        expr = F.when(F.col(label_col) == cls, F.lit(n / (k * cnt))).otherwise(expr)
-    return df.withColumn(weight_col, expr), float(n)
-
+def class_counts(df: DataFrame, label_col: str = "label_id") -> dict[int, int]:
+    """Rows of every class (k rows, bounded by the classes)."""
+    return {int(r[0]): int(r[1]) for r in df.groupBy(label_col).count().collect()}
 
-def classifier(algorithm: str, kind: str, n_classes: int, total_weight: float, max_iter: int = MAX_ITER):
-    c = C_BY_ALGORITHM_AND_TASK[algorithm][kind]
-    reg = 1.0 / (c * total_weight)
-    if algorithm == "logreg":
-        return LogisticRegression(
-            featuresCol="features",
-            labelCol="label_id",
-            weightCol="class_weight",
-            regParam=reg,
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=max_iter,
-            tol=TOL,
-            family="auto",
-        )
-    return _svc(reg, max_iter)
 
+def task_loss(algorithm: str, kind: str, counts: dict[int, int], n_classes: int) -> so.Loss:
+    """The objective of a task: balanced classes, penalty 1 / (C * total weight).
 
-def _svc(reg: float, max_iter: int, label_col: str = "label_id"):
-    return LinearSVC(
-        featuresCol="features", labelCol=label_col, weightCol="class_weight",
-        regParam=reg, standardization=False, maxIter=max_iter, tol=TOL,
+    Two classes make one column. More make one softmax, or one squared-hinge
+    column a class, in which its rows weigh n / (k * n_c) and all others 1.
+    """
+    n, c_value = sum(counts.values()), C_BY_ALGORITHM_AND_TASK[algorithm][kind]
+    present = max(1, sum(1 for v in counts.values() if v))
+    held = [counts.get(c, 0) for c in range(n_classes)]
+    weight = [n / (present * h) if h else 1.0 for h in held]
+    if n_classes == 2:
+        total = sum(w * h for w, h in zip(weight, held))
+        shape = "logistic" if algorithm == "logreg" else "squared_hinge"
+        return so.Loss(shape, (1,), (weight[1] / total,), (weight[0] / total,), (1.0 / (c_value * total),))
+    every = tuple(range(n_classes))
+    if algorithm == "logreg":
+        total = sum(w * h for w, h in zip(weight, held))
+        return so.Loss("softmax", every, tuple(w / total for w in weight), (0.0,) * n_classes, (1.0 / (c_value * total),) * n_classes)
+    totals = [w * h + n - h for w, h in zip(weight, held)]
+    return so.Loss(
+        "squared_hinge", every, tuple(w / t for w, t in zip(weight, totals)), tuple(1.0 / t for t in totals),
+        tuple(1.0 / (c_value * t) for t in totals),
     )
 
 
-def fit_one_vs_rest(vectors: DataFrame, kind: str, n_classes: int, max_iter: int = MAX_ITER, parallelism: int = 1):
-    """One binary SVM per class on the shared vectors.
+def _stock_model(algorithm: str, coefs: np.ndarray):
+    """The coefficients as Spark ML's own model, which scores and persists."""
+    def svc(row):
+        return LinearSVCModel._create_from_java_class(
+            "org.apache.spark.ml.classification.LinearSVCModel", f"LinearSVC_{uuid.uuid4().hex[:12]}", Vectors.dense(row[:-1]), float(row[-1])
+        )
 
-    In the sub-problem of class c its rows weigh n / (k * n_c) and all others
-    1; the penalty follows from that sub-problem's own sum of weights.
-    """
-    counts = {int(r[0]): int(r[1]) for r in vectors.groupBy("label_id").count().collect()}  # one row per class
-    n, c_value = sum(counts.values()), C_BY_ALGORITHM_AND_TASK["linear_svc"][kind]
+    if algorithm == "logreg":
+        k, width = coefs.shape
+        matrix = DenseMatrix(k, width - 1, np.ascontiguousarray(coefs[:, :-1]).ravel(), isTransposed=True)
+        return LogisticRegressionModel._create_from_java_class(
+            "org.apache.spark.ml.classification.LogisticRegressionModel", f"LogisticRegression_{uuid.uuid4().hex[:12]}",
+            matrix, Vectors.dense(coefs[:, -1]), max(2, k), k > 1,
+        )
+    if len(coefs) == 1:
+        return svc(coefs[0])
+    shape = OneVsRest(classifier=LinearSVC(), featuresCol="features", labelCol="label_id")
+    return shape._copyValues(OneVsRestModel(models=[svc(row) for row in coefs]))
 
-    def one(c: int):
-        held = counts.get(c, 0)
-        weight = n / (n_classes * held) if held else 1.0
-        mine = F.col("label_id") == c
-        rows = vectors.select("features", mine.cast("double").alias("label_id"), F.when(mine, weight).otherwise(1.0).alias("class_weight"))
-        return _svc(1.0 / (c_value * (weight * held + n - held)), max_iter).fit(rows)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = list(pool.map(one, range(n_classes)))
-    shape = OneVsRest(classifier=_svc(0.0, max_iter), featuresCol="features", labelCol="label_id")
-    return shape._copyValues(OneVsRestModel(models=models))
+def fit_classifier(vectors: DataFrame, algorithm: str, kind: str, n_classes: int, max_iter: int = MAX_ITER):
+    """(model, iterations, converged) on the persisted (features, label_id) rows."""
+    loss = task_loss(algorithm, kind, class_counts(vectors), n_classes)
+    width = vectors.select("features").first()[0].size
+    coefs, used, converged = so.fit(vectors, loss, width, TOL, max_iter)
+    return _stock_model(algorithm, coefs), used, converged
 
 
-def iterations(model: PipelineModel, max_iter: int = MAX_ITER) -> tuple[int, bool]:
-    """Most iterations of the pipeline's solvers, and whether all stopped by tolerance."""
-    used = [0]
-    for stage in model.stages:
-        for part in getattr(stage, "models", [stage]):
-            if getattr(part, "hasSummary", False):
-                summary = part.summary() if callable(part.summary) else part.summary
-                used.append(int(summary.totalIterations))
-    return max(used), max(used) < max_iter
+def iterations(model: PipelineModel) -> tuple[int, bool]:
+    """Iterations of a fit of this session, and whether it met its tolerance."""
+    return model.iterations, model.converged
 
 
 class LengthScaler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -231,7 +228,6 @@ def fit_task(
     kind: str | None = None,
     length_feature: bool = False,
     max_features: int | None = None,
-    parallelism: int = 4,
 ):
     """Fit one task on the rows with a target; returns (PipelineModel, labels).
 
@@ -252,32 +248,26 @@ def fit_task(
     if isinstance(indexer, StringIndexer):
         indexer = indexer.fit(labelled)
     labels = list(indexer.labels)
-    indexed, total_weight = with_balanced_weights(indexer.transform(labelled))
+    indexed = indexer.transform(labelled)
     kind = kind or ("ordinal" if order is not None else "nominal")
     vocabulary = exact_vocabulary(indexed, max_features) if max_features else None
     feature_model = Pipeline(stages=feature_stages(num_features, length_feature, vocabulary)).fit(indexed)
     # The solver passes over the data once per evaluation: keep only the
-    # vectors, the label and the weight in memory for it.
-    vectors = (
-        feature_model.transform(indexed)
-        .select("features", "label_id", "class_weight")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    if algorithm == "linear_svc" and len(labels) > 2:
-        model = fit_one_vs_rest(vectors, kind, len(labels), max_iter, parallelism)
-    else:
-        model = classifier(algorithm, kind, len(labels), total_weight, max_iter).fit(vectors)
+    # vectors and the label for it.
+    vectors = feature_model.transform(indexed).select("features", "label_id").persist(StorageLevel.MEMORY_AND_DISK)
+    model, used, converged = fit_classifier(vectors, algorithm, kind, len(labels), max_iter)
     vectors.unpersist()
-    used, converged = iterations(PipelineModel([model]), max_iter)
     if not converged:
-        warnings.warn(f"the fit of '{target}' stopped at its limit of {used} iterations", stacklevel=2)
+        warnings.warn(f"the fit of '{target}' did not meet its tolerance in {used} iterations", stacklevel=2)
     stages = ([text_stage] if text_stage is not None else []) + feature_model.stages + [
         model,
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels),
     ]
     if text_stage is not None:
         labelled.unpersist()
-    return PipelineModel(stages), labels
+    fitted = PipelineModel(stages)
+    fitted.iterations, fitted.converged = used, converged
+    return fitted, labels
 
 
 def predictions(model: PipelineModel, rows: DataFrame, labels, target: str | None = None) -> DataFrame:

@@ -698,14 +698,9 @@ def _run_outcomes(spark, d):
 
 
 def _runs_table(spark, d):
-    outs = _run_outcomes(spark, d).select("run_id").distinct()
-    rule = F.regexp_extract("run_id", r"(\d+)$", 1).cast("int")
-    return outs.select(
-        "run_id",
-        F.lit(RUN_TASK).alias("task"),
-        F.lit("rule").alias("algorithm"),
-        (F.lit(1000) * (F.pmod(rule, F.lit(3)) + 1)).cast("long").alias("feature_columns"),
-    )
+    """The runs are parameters: no pass over the outcomes lists them."""
+    rows = [(f"{RUN_TASK}-rule-{r}", RUN_TASK, "rule", 1000 * (r % 3 + 1)) for r in RUN_RULES]
+    return spark.createDataFrame(rows, "run_id string, task string, algorithm string, feature_columns long")
 
 
 def _run_metrics(spark, d):
@@ -769,6 +764,22 @@ def q_promoted_runs(spark, d):
     return rn.promoted_runs(rn.leaderboard(_runs_table(spark, d), _run_metrics(spark, d)))
 
 
+@register(
+    "promotion_mismatches",
+    lambda: f"""WITH {_run_sql()},
+    p AS (SELECT task, run_id AS promoted_run FROM board WHERE rank = 1),
+    s AS (SELECT task, run_id AS serving_run FROM (SELECT *, row_number() OVER (PARTITION BY task
+            ORDER BY accuracy_mean, run_id) AS worst FROM board) WHERE worst = 1)
+    SELECT task, promoted_run, serving_run FROM p FULL OUTER JOIN s USING (task)
+    WHERE promoted_run IS DISTINCT FROM serving_run""",
+)
+def q_promotion_mismatches(spark, d):
+    """Promoted runs held against a serving list that still names the least accurate run of each task."""
+    board = rn.leaderboard(_runs_table(spark, d), _run_metrics(spark, d))
+    serving = board.groupBy("task").agg(F.min_by("run_id", F.struct("accuracy_mean", "run_id")).alias("run_id"))
+    return rn.promotion_mismatches(rn.promoted_runs(board), serving)
+
+
 # ------------------------------------------------------------ scans, sinks (S)
 
 
@@ -821,11 +832,6 @@ from concurrent.futures import ThreadPoolExecutor  # noqa: E402
 from ..streaming import triage as st  # noqa: E402
 from . import models as ml  # noqa: E402
 
-# Solver iterations of the registered fits; the library's default is 5000. The
-# fits say in ``iterations`` and ``converged`` whether they stopped here.
-FIT_LIMIT = 100
-
-
 def _ml_tickets(spark, d):
     """Tickets with two targets: ``quality`` (binary, mostly missing) and ``lang`` (4 classes)."""
     rows = V.tickets(spark, d, True).withColumn("lang", F.col("language"))
@@ -837,12 +843,12 @@ def _ml_tickets(spark, d):
 def q_fit_logreg(spark, d):
     """Multinomial logistic regression on the language target, fitted on all rows."""
     rows = _ml_tickets(spark, d)
-    model, labels = ml.fit_task(rows, "lang", "logreg", max_iter=FIT_LIMIT)
+    model, labels = ml.fit_task(rows, "lang", "logreg")
     return _with_convergence(model.transform(rows).select("id", F.col("lang").alias("label"), "predicted_label"), model)
 
 
 def _with_convergence(df: DataFrame, model) -> DataFrame:
-    used, converged = ml.iterations(model, FIT_LIMIT)
+    used, converged = ml.iterations(model)
     return df.withColumn("iterations", F.lit(used)).withColumn("converged", F.lit(converged))
 
 
@@ -850,7 +856,7 @@ def _with_convergence(df: DataFrame, model) -> DataFrame:
 def q_fit_linear_svc_multiclass(spark, d):
     """One-vs-rest linear SVM on the language target, per-class weights, fitted on all rows."""
     rows = _ml_tickets(spark, d)
-    model, labels = ml.fit_task(rows, "lang", "linear_svc", max_iter=FIT_LIMIT)
+    model, labels = ml.fit_task(rows, "lang", "linear_svc")
     scored = ml.predictions(model, rows, labels)
     return _with_convergence(scored.select("id", F.col("lang").alias("label"), F.col("triage.label").alias("predicted_label"),
         F.col("triage.runner_up_label").alias("runner_up_label"), F.col("triage.margin_gap").alias("margin_gap")), model)
@@ -860,7 +866,7 @@ def q_fit_linear_svc_multiclass(spark, d):
 def q_fit_linear_svc(spark, d):
     """Binary linear SVM on the quality target, applied to every ticket."""
     rows = _ml_tickets(spark, d)
-    model, labels = ml.fit_task(rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
+    model, labels = ml.fit_task(rows, "quality", "linear_svc")
     scored = ml.predictions(model, rows, labels)
     return _with_convergence(scored.select(
         "id", F.col("quality").alias("label"), "predicted_label",
@@ -868,12 +874,57 @@ def q_fit_linear_svc(spark, d):
     ), model)
 
 
+# The order of the ordinal target.
+CARE_ORDER = ("fine", "poor", "toxic")
+
+
+def _care(quality, toxic):
+    return F.when(toxic == 1, "toxic").when(quality == 1, "fine").when(quality == 0, "poor")
+
+
+def _care_fit(spark, d):
+    rows = _ml_tickets(spark, d).withColumn("care", _care(F.col("quality"), F.col("toxic")))
+    lb.check_known_labels(rows, "care", CARE_ORDER)
+    model, labels = ml.fit_task(rows, "care", "linear_svc", order=CARE_ORDER)
+    return model, ml.predictions(model, rows, labels)
+
+
+@register("fit_linear_svc_ordinal")
+def q_fit_linear_svc_ordinal(spark, d):
+    """One-vs-rest linear SVM on an ordered target, applied to every ticket."""
+    model, scored = _care_fit(spark, d)
+    return _with_convergence(scored.select("id", F.col("care").alias("label"), F.col("triage.label").alias("predicted_label"),
+        F.col("triage.runner_up_label").alias("runner_up_label"), F.col("triage.margin_gap").alias("margin_gap")), model)
+
+
+@register(
+    "fit_svc_checks",
+    lambda: """SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT d.doc_id) AS BIGINT) AS ids,
+    CAST(count(l.quality) AS BIGINT) AS labelled, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS wrong_top,
+    true AS converged, true AS beats_majority FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+)
+def q_fit_svc_checks(spark, d):
+    """What must hold of the ordinal SVM's output whatever its coefficients:
+    one row a ticket, labels of the given order, the best score on top, more
+    labelled rows right than the largest class has."""
+    model, scored = _care_fit(spark, d)
+    order = F.array(*[F.lit(x) for x in CARE_ORDER])
+    best = F.element_at("scores", F.array_position(order, F.col("triage.label")).cast("int")) == F.array_max("scores")
+    hits = F.count_if(F.col("care") == F.col("triage.label"))
+    largest = F.greatest(*[F.count_if(F.col("care") == x) for x in CARE_ORDER])
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.count("quality").alias("labelled"),
+        F.count_if(~F.col("triage.label").isin(*CARE_ORDER)).alias("out_of_order"), F.count_if(~best).alias("wrong_top"),
+        (hits > largest).alias("beats_majority"),
+    ).withColumn("converged", F.lit(ml.iterations(model)[1]))
+
+
 def _cv(spark, d, target="lang", algorithm="logreg"):
     key = (spark.sparkContext.applicationId, d, "cv", target, algorithm)
     if key not in V._SHARED:
         folds = V.doc_folds(spark, d).withColumn("lang", F.col("language"))
         prepared = pr.with_grams(pr.prepare_tickets(folds, partition_by="id"))
-        out, labels = ml.cross_validate(prepared, target, algorithm, max_iter=FIT_LIMIT)
+        out, labels = ml.cross_validate(prepared, target, algorithm)
         V._SHARED[key] = out.persist(StorageLevel.MEMORY_AND_DISK)
         V._SHARED[key + ("labels",)] = labels
     return V._SHARED[key], V._SHARED[key + ("labels",)]
@@ -886,6 +937,30 @@ def q_cv_predictions(spark, d):
     return out
 
 
+@register("cv_predictions_svc")
+def q_cv_predictions_svc(spark, d):
+    """Out-of-fold predictions of the one-vs-rest linear SVM."""
+    out, _ = _cv(spark, d, algorithm="linear_svc")
+    return out
+
+
+@register(
+    "cv_fold_checks",
+    lambda: f"""WITH {S.TICKETS}, doc_folds AS {S.folds_sql('tickets', 'id', V.DOC_STRATA)}
+    SELECT fold, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id) AS BIGINT) AS ids, CAST(sum(id) AS BIGINT) AS id_sum,
+           true AS beats_majority FROM doc_folds WHERE language IS NOT NULL GROUP BY fold""",
+)
+def q_cv_fold_checks(spark, d):
+    """Fold membership of the out-of-fold predictions, and that each fold gets
+    more rows right than its largest class has."""
+    out, labels = _cv(spark, d)
+    largest = F.greatest(*[F.count_if(F.col("y") == i) for i in range(len(labels))])
+    return out.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.sum("id").alias("id_sum"),
+        (F.count_if(F.col("y") == F.col("yhat")) > largest).alias("beats_majority"),
+    )
+
+
 @register("cv_model_metrics")
 def q_cv_model_metrics(spark, d):
     """All CV metric keys of the fitted language model (metrics over cv_predictions)."""
@@ -899,8 +974,8 @@ def q_triage_batch(spark, d):
     """Both task models applied to every ticket: label, runner-up and margin per task."""
     rows = _ml_tickets(spark, d)
     with ThreadPoolExecutor(max_workers=2) as pool:  # two independent fits overlap
-        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
-        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", max_iter=FIT_LIMIT)
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc")
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg")
         (quality, q_labels), (lang, l_labels) = fq.result(), fl.result()
     prepared = ml.TicketTextPrep().transform(V.tickets(spark, d, False))
     return _apply_tasks(prepared, {"quality": (quality, q_labels), "lang": (lang, l_labels)})
@@ -932,7 +1007,7 @@ def q_model_roundtrip(spark, d):
     from pyspark.ml import PipelineModel
 
     rows = _ml_tickets(spark, d)
-    model, _ = ml.fit_task(rows, "lang", "logreg", max_iter=FIT_LIMIT)
+    model, _ = ml.fit_task(rows, "lang", "logreg")
     path = scratch_path(spark, "model-lang")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -957,6 +1032,20 @@ def _streaming_sql() -> str:
 WHERE b.id IN (SELECT id FROM tickets WHERE length(subject) >= 1 AND length(body) >= 1)"""
 
 
+def _replay(spark, d):
+    """The (accepted, rejected) sinks after the tickets ran through the stream."""
+    _, idf = _idf(spark, d)
+    # The model is one table, hash-partitioned by term and persisted, so each
+    # micro-batch shuffles only its own rows to meet it.
+    model = _scoring_model(idf).repartition("term").persist(StorageLevel.MEMORY_AND_DISK)
+    source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "requests"))
+    scorer = _relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
+    try:
+        return st.run_triage_stream(spark, source, scorer)
+    finally:
+        model.unpersist()
+
+
 @register("streaming_triage", _streaming_sql)
 def q_streaming_triage(spark, d):
     """Tickets replayed as a stream; accepted ones scored with the corpus model.
@@ -964,16 +1053,26 @@ def q_streaming_triage(spark, d):
     The model (idf + coefficient tables) is fitted on the batch corpus and
     persisted; the stream re-prepares each micro-batch and joins against it.
     """
-    _, idf = _idf(spark, d)
-    # The model is one table, hash-partitioned by term and persisted, so each
-    # micro-batch shuffles only its own rows to meet it.
-    model = _scoring_model(idf).repartition("term").persist(StorageLevel.MEMORY_AND_DISK)
-    source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "requests"))
-    scorer = _relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
-    accepted, _ = st.run_triage_stream(spark, source, scorer)
+    accepted, _ = _replay(spark, d)
     return spark.read.parquet(accepted).drop("epoch")
 
 
+def _triage_requests_sql() -> str:
+    return f"""WITH {S.TICKETS}, v AS (
+    SELECT id, CASE WHEN subject IS NULL THEN 'missing subject' WHEN length(subject) < 1 THEN 'empty subject'
+                    WHEN body IS NULL THEN 'missing body' WHEN length(body) < 1 THEN 'empty body' END AS reason FROM tickets)
+    SELECT v.id, v.reason IS NULL AS accepted, v.reason, CASE WHEN v.reason IS NULL THEN b.label END AS label
+    FROM v LEFT JOIN ({_top2_sql()}) b ON b.id = v.id"""
+
+
+@register("triage_requests", _triage_requests_sql)
+def q_triage_requests(spark, d):
+    """Every request of the stream: the accepted ones with their label, the rejected ones with the reason."""
+    accepted, rejected = _replay(spark, d)
+    rows = spark.read.parquet(accepted).select("id", F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"), "label")
+    return rows.unionByName(spark.read.parquet(rejected).select("id", F.lit(False).alias("accepted"), "reason", F.lit(None).cast("string").alias("label")))
+
+
 # ------------------------------------- second outcomes set: zero-support class
 
 # Quality labels with a third class that never occurs.
@@ -1058,8 +1157,8 @@ def q_streaming_model_triage(spark, d):
     the serving pipeline, no oracle (model fits)."""
     rows = _ml_tickets(spark, d)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc", max_iter=FIT_LIMIT)
-        fl = pool.submit(ml.fit_task, rows, "lang", "logreg", max_iter=FIT_LIMIT)
+        fq = pool.submit(ml.fit_task, rows, "quality", "linear_svc")
+        fl = pool.submit(ml.fit_task, rows, "lang", "logreg")
         models = {"quality": fq.result(), "lang": fl.result()}
 
     def score(batch: DataFrame) -> DataFrame:
