@@ -7,9 +7,9 @@ in the order that defines the ids).
 The only pass over the outcomes is ``outcome_cube``: a partial + final
 aggregate to ``(fold, language, y, yhat, n)``. Its size is bounded by
 folds × languages × k², independent of the corpus, and every table below is
-derived from it with conditional sums over the given label list (classes
-absent from a fold keep their zero rows), so nothing joins or densifies
-against the raw rows.
+derived from it with conditional sums over the given label list, or a join of
+the label grid with the cube (classes absent from a fold keep their zero
+rows), so nothing joins or densifies against the raw rows.
 """
 
 from __future__ import annotations
@@ -144,27 +144,14 @@ def metrics_grouping_sets(outcomes: DataFrame, labels) -> DataFrame:
 
 def confusion_dense(cube: DataFrame, labels) -> DataFrame:
     """(fold, actual_label_id, actual_label, predicted_label_id, predicted_label, count): k² rows per fold."""
-    ids = _label_ids(labels)
-    aggs = [
-        F.sum(F.when((F.col("y") == a) & (F.col("yhat") == p), F.col("n")).otherwise(0)).alias(f"c_{a}_{p}")
-        for a in ids
-        for p in ids
-    ]
-    wide = cube.groupBy("fold").agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).cast("int").alias("actual_label_id"),
-                F.lit(str(an)).alias("actual_label"),
-                F.lit(p).cast("int").alias("predicted_label_id"),
-                F.lit(str(pn)).alias("predicted_label"),
-                F.col(f"c_{a}_{p}").cast("long").alias("count"),
-            )
-            for a, an in labels
-            for p, pn in labels
-        ]
+    listed = F.array(*[F.struct(F.lit(int(i)).alias("id"), F.lit(str(name)).alias("label")) for i, name in labels])
+    grid = cube.select("fold").distinct().select("fold", F.explode(listed).alias("a")).select("fold", "a", F.explode(listed).alias("p"))
+    cells = cube.groupBy(F.col("fold").alias("_fold"), "y", "yhat").agg(F.sum("n").alias("n"))
+    same = F.col("fold").eqNullSafe(F.col("_fold")) & (F.col("a.id") == F.col("y")) & (F.col("p.id") == F.col("yhat"))
+    return grid.join(cells, same, "left").select(
+        "fold", F.col("a.id").alias("actual_label_id"), F.col("a.label").alias("actual_label"), F.col("p.id").alias("predicted_label_id"),
+        F.col("p.label").alias("predicted_label"), F.coalesce("n", F.lit(0)).cast("long").alias("count"),
     )
-    return wide.select("fold", F.inline(cells))
 
 
 def ovr_confusion(cube: DataFrame, labels) -> DataFrame:

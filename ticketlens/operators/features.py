@@ -12,8 +12,8 @@ Plan shape (see README "Scale"):
 * ``tf ⋈ idf`` is an equi-join on the term: AQE turns it into a broadcast
   join only when the measured idf side is under the broadcast threshold,
   otherwise sort-merge with skew splitting;
-* row norms are a partial + final aggregate per id joined back (one row per
-  document leaves each task), not a window that moves every pair;
+* row norms are a window sum by document over the joined rows, so the join is
+  computed once;
 * per-fold training IDF tables come from one aggregate by subtraction.
 """
 
