@@ -239,6 +239,13 @@ def test_quality_score_is_the_mean_log_ratio(make, words, spark):
     assert {r["doc_id"] for r in quality.keep(make(docs), trusted).collect()} == kept
 
 
+def test_quality_target_is_counted_on_every_trusted_row(spark):
+    n = 20_600
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('u', id % 7) as text")
+    weights = quality.log_ratios(docs, docs.select("doc_id"))
+    assert set(weights) == {0}  # the target is the corpus
+
+
 def test_token_records_round_trip(make, texts, spark, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     path = queries.tokenizer_path("word_bpe_49k.json")

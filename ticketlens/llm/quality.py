@@ -20,8 +20,6 @@ CELLS = 1 << 14
 GRAIN = 1024
 #: Documents are kept from this mean log-ratio on (natural logarithm).
 THRESHOLD = -0.08
-#: Trusted documents that the target is counted on at most, in hash order of their ids.
-TRUSTED_SAMPLE = 20_000
 SMOOTHING = 1.0
 MIN_WORDS = 50
 _LONG_LIST = 16
@@ -84,15 +82,15 @@ def _cells(hashes: str) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """log(target share / corpus share) of every cell, in 1 / GRAIN nats.
 
-    Corpus counts are taken over all documents, target counts over at most
-    TRUSTED_SAMPLE trusted ids (column doc_id), so the broadcast is bounded;
-    the driver gets one number per cell.
+    Corpus counts are taken over all documents, target counts over all whose
+    id is trusted (column doc_id); the driver gets one number per cell.
     """
-    some = trusted.select(F.col("doc_id").alias("__t")).where("__t is not null").distinct().orderBy(F.xxhash64("__t"), "__t").limit(TRUSTED_SAMPLE)
-    hashes = F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w))
-    given = docs.select(F.col(id_col).alias("__id"), hashes.alias("hashes"))
-    marked = given.join(F.broadcast(some), given["__id"] == some["__t"], "left")
-    cells = marked.select(F.col("__t").isNotNull().cast("int").alias("t"), F.explode(_cells("hashes")).alias("cell"))
+    ids = trusted.select(F.col("doc_id").alias("__t")).where("__t is not null").distinct()
+    given = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    # texts, not hashes, go through the join: they pack better
+    marked = given.join(ids, given["__id"] == ids["__t"], "left").select(F.col("__t").isNotNull().cast("int").alias("t"), "__text")
+    hashed = marked.select("t", F.transform(words(F.col("__text")), lambda w: F.xxhash64(w)).alias("hashes"))
+    cells = hashed.select("t", F.explode(_cells("hashes")).alias("cell"))
     counts = {r["cell"]: (r["t"], r["r"]) for r in cells.groupBy("cell").agg(F.sum("t").alias("t"), F.count("*").alias("r")).collect()}
     target, corpus = (sum(c[k] for c in counts.values()) for k in (0, 1))
     if not target:
