@@ -246,6 +246,19 @@ def test_quality_target_is_counted_on_every_trusted_row(spark):
     assert set(weights) == {0}  # the target is the corpus
 
 
+def test_quality_threshold_and_cells_follow_the_input(make, words, spark):
+    assert quality.n_cells(0) == quality.CELLS < quality.n_cells(3000) < quality.n_cells(10**7) == quality.MOST_CELLS
+    assert quality.between({5: 3, 9: 1}, {-7: 2, 1: 4}) == 3 / quality.GRAIN  # the middle of the gap
+    assert quality.between({0: 1, 10: 99}, {1: 99, -9: 1}) == 5.5 / quality.GRAIN  # one good row is lost
+    assert quality.between({4: 1, 6: 1}, {}) == 4 / quality.GRAIN and quality.between({}, {}) is None
+    shared = [words(100, 300) for _ in range(40)]  # the low class differs in a few words only: scores close to 0
+    docs = [(i, t if i < 20 else t + " junk" * 2 + f" x{i} spam") for i, t in enumerate(shared)]
+    ids = lambda a, b: spark.createDataFrame([(i,) for i in range(a, b)], "doc_id long")
+    got = {r["doc_id"]: r["quality"] for r in quality.judge(make(docs), ids(0, 20), rejected=ids(20, 40)).collect()}
+    good, low = (sorted(got[i]["score"] for i in rows) for rows in (range(20), range(20, 40)))
+    assert low[-1] < good[0] and all(got[i]["kept"] == (i < 20) for i in range(40))
+
+
 def test_token_records_round_trip(make, texts, spark, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     path = queries.tokenizer_path("word_bpe_49k.json")

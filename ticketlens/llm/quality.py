@@ -1,10 +1,10 @@
 """Quality rules: hashed n-gram log-likelihood ratio (DataFrame functions only).
 
-Word 1- and 2-grams are hashed into a fixed number of cells.  One multinomial
-is counted over the whole corpus, one over a trusted target; a document's
-score is the mean log-ratio of its n-grams' cells, and every document is held
-against one fixed threshold.  The weights are one number per cell, whatever
-the size of the corpus.
+Word 1- and 2-grams are hashed into cells, more of them for a larger corpus up
+to a bound.  One multinomial is counted over the whole corpus, one over a
+trusted target; a document's score is the mean log-ratio of its n-grams'
+cells, and every document is held against one threshold, which is taken from
+the scores of the labelled documents.  The weights are one number per cell.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Cells at least, for each document, and at most (the weights travel in the plan).
 CELLS = 1 << 14
+CELLS_A_DOC = 32
+MOST_CELLS = 1 << 18
 #: Weights are whole numbers of this part of a nat, so sums do not depend on their order.
 GRAIN = 1024
-#: Documents are kept from this mean log-ratio on (natural logarithm).
+#: Documents are kept from this mean log-ratio on (natural logarithm) where no labelled one has a score.
 THRESHOLD = -0.08
 SMOOTHING = 1.0
 MIN_WORDS = 50
@@ -71,9 +74,14 @@ def with_repeated_words(rows: DataFrame, grams: str, to: str, width: int = 3) ->
     return rows.withColumn(to, found.cast("long")).drop("__twice", "__sorted")
 
 
-def _cells(hashes: str) -> Column:
+def n_cells(n_docs: int) -> int:
+    """The power of two that has CELLS_A_DOC cells for each document, within the bounds."""
+    return max(CELLS, min(MOST_CELLS, 1 << max(n_docs * CELLS_A_DOC - 1, 0).bit_length()))
+
+
+def _cells(hashes: str, n: int = CELLS) -> Column:
     """Cell of every 1- and 2-gram; the last word's 2-gram ends with the text."""
-    half, h = CELLS // 2, F.col(hashes)
+    half, h = n // 2, F.col(hashes)
     one = F.transform(h, lambda x: F.pmod(x, F.lit(half)).cast("int"))
     two = _pairs(h, _tail(h, 2), lambda a, b: (F.pmod(F.xxhash64(a, b), F.lit(half)) + half).cast("int"))
     return F.concat(one, two)
@@ -85,29 +93,79 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     Corpus counts are taken over all documents, target counts over all whose
     id is trusted (column doc_id); the driver gets one number per cell.
     """
+    n = n_cells(docs.count())
     ids = trusted.select(F.col("doc_id").alias("__t")).where("__t is not null").distinct()
     given = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     # texts, not hashes, go through the join: they pack better
     marked = given.join(ids, given["__id"] == ids["__t"], "left").select(F.col("__t").isNotNull().cast("int").alias("t"), "__text")
     hashed = marked.select("t", F.transform(words(F.col("__text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    cells = hashed.select("t", F.explode(_cells("hashes")).alias("cell"))
+    cells = hashed.select("t", F.explode(_cells("hashes", n)).alias("cell"))
     counts = {r["cell"]: (r["t"], r["r"]) for r in cells.groupBy("cell").agg(F.sum("t").alias("t"), F.count("*").alias("r")).collect()}
     target, corpus = (sum(c[k] for c in counts.values()) for k in (0, 1))
     if not target:
-        return [0] * CELLS
-    share = lambda n, total: math.log((n + SMOOTHING) / (total + SMOOTHING * CELLS))
-    return [round(GRAIN * (share(t, target) - share(r, corpus))) for t, r in (counts.get(c, (0, 0)) for c in range(CELLS))]
+        return [0] * n
+    share = lambda k, total: math.log((k + SMOOTHING) / (total + SMOOTHING * n))
+    return [round(GRAIN * (share(t, target) - share(r, corpus))) for t, r in (counts.get(c, (0, 0)) for c in range(n))]
+
+
+def _score(hashes: str, weights: list[int]) -> Column:
+    """Mean weight of the text's 1- and 2-grams, in nats; 0 without words."""
+    of = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
+    total = F.aggregate(_cells(hashes, len(weights)), F.lit(0).cast("long"), lambda a, c: a + F.get(of, c))
+    n = F.size(hashes)
+    return F.when(n > 0, total / (n * (2 * GRAIN))).otherwise(F.lit(0.0))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, to: str = "quality") -> DataFrame:
+def between(good: dict[int, int], low: dict[int, int]) -> float | None:
+    """The cut with the smallest sum of both classes' error rates, from rows counted by score (1 / GRAIN nats).
+
+    It is the middle of the gap between two scores that occur, of equal cuts
+    the one in the widest gap.  With one class only all its rows are on their
+    side, None without any.
+    """
+    if not good or not low:
+        return min(good) / GRAIN if good else (max(low) + 1) / GRAIN if low else None
+    n_good, n_low = sum(good.values()), sum(low.values())
+    at = sorted({*good, *low})
+    lost, passed, best = 0, n_low, None
+    for a, b in zip(at, at[1:]):
+        lost, passed = lost + good.get(a, 0), passed - low.get(a, 0)
+        cut = (lost * n_low + passed * n_good, a - b, a)
+        best = min(best or cut, cut)
+    return (2 * best[2] - best[1]) / (2 * GRAIN) if best else at[0] / GRAIN
+
+
+def threshold_of(docs: DataFrame, weights: list[int], trusted: DataFrame, rejected: DataFrame | None, id_col: str, text_col: str) -> float:
+    """The threshold between the labelled rows that are long enough for the base rules.
+
+    Only ids and whole-numbered scores meet the labels; the driver gets one row per score.
+    """
+    hashed = docs.select(F.col(id_col).alias("__id"), F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w)).alias("__h"))
+    scored = hashed.select("__id", F.size("__h").alias("__n"), F.floor(_score("__h", weights) * GRAIN).alias("at"))
+    labels = trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("good"))
+    if rejected is not None:
+        labels = labels.union(rejected.select("doc_id", F.lit(0)))
+    met = scored.where(F.col("__n") >= MIN_WORDS).join(labels.distinct(), F.col("__id") == F.col("__t"))
+    found: tuple[dict, dict] = ({}, {})
+    for r in met.groupBy("good", "at").count().collect():
+        found[r["good"]][r["at"]] = r["count"]
+    cut = between(found[1], found[0])
+    return THRESHOLD if cut is None else cut
+
+
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None, to: str = "quality", rejected: DataFrame | None = None) -> DataFrame:
     """The input with the struct ``to``: counts, base_failed, score and kept.
 
     A null or empty text has no words (all counts 0) and fails the base rules.
     The score of a text without words is 0.  Without trusted documents every
     score is 0 and the base rules alone decide.  Repeated rows are judged alike.
+    The threshold lies between the trusted rows and the ``rejected`` ones (ids
+    of low quality, column doc_id); without these it is the lowest trusted score.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    weights = F.split(F.lit(",".join(map(str, log_ratios(docs, trusted, id_col, text_col)))), ",").cast("array<int>")
+    weights = log_ratios(docs, trusted, id_col, text_col)
+    if threshold is None:
+        threshold = threshold_of(docs, weights, trusted, rejected, id_col, text_col) if any(weights) else THRESHOLD
     lines = F.filter(F.split(text, "\\n"), lambda x: F.regexp_like(x, F.lit("[^ \\t-\\r]")))
     rows = docs.withColumn("__w", words(text)).withColumn("__l", lines).withColumn("__n", F.size("__w"))
     rows = rows.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
@@ -115,10 +173,9 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     two = _pairs(h, _tail(h, 2), lambda a, b: F.xxhash64(a, b))
     grams = F.slice(_pairs(two, _tail(h, 3), lambda a, b: F.xxhash64(a, b)), 1, F.greatest(F.col("__n") - 2, F.lit(0)))
     rows = with_repeated_words(rows.withColumn("__g", grams), "__g", "__r")
-    total = F.aggregate(_cells("__h"), F.lit(0).cast("long"), lambda a, c: a + F.get(weights, c))
-    rows = rows.withColumn("__s", total)
+    rows = rows.withColumn("__s", _score("__h", weights))
     failed = (F.col("__n") < MIN_WORDS) | (F.col("__r") * 100 > F.col("__n") * 50)
-    score = F.when(F.col("__n") > 0, F.col("__s") / (F.col("__n") * (2 * GRAIN))).otherwise(F.lit(0.0))
+    score = F.col("__s")
     judged = F.struct(
         F.col("__n").cast("long").alias("n_words"),
         F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),

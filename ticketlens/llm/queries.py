@@ -77,12 +77,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), every.alias("spans"))
 
 
-def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+def _labelled(spark: SparkSession, sf_dir: str, quality: int) -> DataFrame:
+    return table(spark, sf_dir, "labels").where(F.col("quality") == quality).select("doc_id")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(documents(spark, sf_dir), _trusted(spark, sf_dir))
+    judged = quality.judge(documents(spark, sf_dir), _labelled(spark, sf_dir, 1), rejected=_labelled(spark, sf_dir, 0))
     return judged.select("doc_id", "quality.*")
 
 
