@@ -280,6 +280,15 @@ def test_token_records_round_trip(make, texts, spark, tmp_path):
     assert token_records.read_records(spark, f"file://{tmp_path}/none", empty).count() == 0
 
 
+def test_decomposed_capitals_get_the_tokenizers_ids():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    full, encoder = tokenizers.Tokenizer.from_file(path), token_records.WordEncoder(path)
+    texts = ["J\u030c", "T\u0308 Plain Words", "see H\u0331 and W\u030a", "E\u0301COLE", "ÀÖ J\u030cK", "PLAIN Ascii"]
+    got = [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts, 1)]
+    assert got == [[*full.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
 def test_record_framing():
     assert token_records.crc32c_many([b"123456789"])[0] == 0xE3069283
     rng = random.Random(2)

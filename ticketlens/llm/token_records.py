@@ -167,8 +167,9 @@ class WordEncoder(dict):
         out = []
         for text in texts:
             raw = text.encode()
-            # A-Z are lowered first where the tokenizer does so anyway (not inside its special tokens)
-            words = (raw.lower() if self.lowers and b"<|" not in raw else raw).split()
+            # A-Z are lowered first where the tokenizer does so anyway: not inside its special tokens, and not
+            # in other than ASCII texts, where it composes characters before it lowers them
+            words = (raw.lower() if self.lowers and raw.isascii() and b"<|" not in raw else raw).split()
             out.append(b"".join(map(self.__getitem__, words)) + end)
         return out
 
