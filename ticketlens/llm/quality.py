@@ -1,24 +1,32 @@
 """Quality rules: hashed n-gram log-likelihood ratio (DataFrame functions only).
 
-Word 1- and 2-grams are hashed into cells, more of them for a larger corpus up
-to a bound.  One multinomial is counted over the whole corpus, one over a
-trusted target; a document's score is the mean log-ratio of its n-grams'
-cells, and every document is held against one threshold, which is taken from
-the scores of the labelled documents.  The weights are one number per cell.
+Word 1- and 2-grams are hashed into cells.  One multinomial is counted over the
+whole corpus, two over a trusted target, one for either half of its ids; a
+document's score is the mean log-ratio of its n-grams' cells by the target half
+that it is not in, so no document is held against its own words.  Every
+document is held against one threshold, which is taken from the scores of the
+labelled documents.
+
+Texts meet ids once, for the target counts: a bitmap of fixed size keeps most
+other rows out of that join's exchange.  Scores meet ids as narrow rows.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Cells at least, for each document, and at most (the weights travel in the plan).
-CELLS = 1 << 14
-CELLS_A_DOC = 32
-MOST_CELLS = 1 << 18
+from ticketlens.llm.common import written
+
+#: Cells of 1- and 2-grams, the same at every size (a number per half and cell travels in the plan).
+CELLS = 1 << 17
+#: Halves of the target, by the id's hash.
+FOLDS = 2
+#: Bits of the bitmap of trusted ids: 8 MB at most, however many ids there are.
+ID_BITS = 1 << 26
 #: Weights are whole numbers of this part of a nat, so sums do not depend on their order.
 GRAIN = 1024
 #: Documents are kept from this mean log-ratio on (natural logarithm) where no labelled one has a score.
@@ -26,6 +34,7 @@ THRESHOLD = -0.08
 SMOOTHING = 1.0
 MIN_WORDS = 50
 _LONG_LIST = 16
+_BITS_A_ROW = 8 * 4096  # of Spark's bitmap functions
 
 
 def words(text: Column) -> Column:
@@ -74,11 +83,6 @@ def with_repeated_words(rows: DataFrame, grams: str, to: str, width: int = 3) ->
     return rows.withColumn(to, found.cast("long")).drop("__twice", "__sorted")
 
 
-def n_cells(n_docs: int) -> int:
-    """The power of two that has CELLS_A_DOC cells for each document, within the bounds."""
-    return max(CELLS, min(MOST_CELLS, 1 << max(n_docs * CELLS_A_DOC - 1, 0).bit_length()))
-
-
 def _cells(hashes: str, n: int = CELLS) -> Column:
     """Cell of every 1- and 2-gram; the last word's 2-gram ends with the text."""
     half, h = n // 2, F.col(hashes)
@@ -87,33 +91,79 @@ def _cells(hashes: str, n: int = CELLS) -> Column:
     return F.concat(one, two)
 
 
+def fold_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FOLDS)).cast("int")
+
+
+def rows_of(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is among the ids (column __t, distinct, not null).
+
+    The ids' hashes as a bitmap of ID_BITS bits go to every task, so few other
+    rows are exchanged; with very many ids the bitmap lets more of them through.
+    """
+
+    def place(k: Column) -> Column:
+        return F.pmod(F.xxhash64(k), F.lit(ID_BITS)) + 1
+
+    at = place(F.col("__t"))
+    bits = ids.select(F.bitmap_bucket_number(at).alias("__row"), F.bitmap_bit_position(at).alias("p")).groupBy("__row").agg(F.bitmap_construct_agg("p").alias("__bits"))
+    bit = F.pmod(place(F.col(key)) - 1, F.lit(_BITS_A_ROW)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = rows.join(F.broadcast(bits), F.bitmap_bucket_number(place(F.col(key))) == F.col("__row"))
+    near = near.where(F.call_function("shiftright", byte, F.pmod(bit, F.lit(8))).bitwiseAND(F.lit(1)) == 1).select(*rows.columns)
+    # not a semi join, which the optimizer would move below the bitmap's
+    return near.join(ids.hint("shuffle_hash"), near[key] == ids["__t"]).select(*rows.columns)
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
-    """log(target share / corpus share) of every cell, in 1 / GRAIN nats.
+    """log(target share / corpus share) of every cell, in 1 / GRAIN nats, for documents of each fold in turn.
 
     Corpus counts are taken over all documents, target counts over all whose
-    id is trusted (column doc_id); the driver gets one number per cell.
+    id is trusted (column doc_id) and of another fold; the driver gets one
+    number per cell and count.
     """
-    n = n_cells(docs.count())
     ids = trusted.select(F.col("doc_id").alias("__t")).where("__t is not null").distinct()
     given = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    # texts, not hashes, go through the join: they pack better
-    marked = given.join(ids, given["__id"] == ids["__t"], "left").select(F.col("__t").isNotNull().cast("int").alias("t"), "__text")
-    hashed = marked.select("t", F.transform(words(F.col("__text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    cells = hashed.select("t", F.explode(_cells("hashes", n)).alias("cell"))
-    counts = {r["cell"]: (r["t"], r["r"]) for r in cells.groupBy("cell").agg(F.sum("t").alias("t"), F.count("*").alias("r")).collect()}
-    target, corpus = (sum(c[k] for c in counts.values()) for k in (0, 1))
-    if not target:
-        return [0] * n
-    share = lambda k, total: math.log((k + SMOOTHING) / (total + SMOOTHING * n))
-    return [round(GRAIN * (share(t, target) - share(r, corpus))) for t, r in (counts.get(c, (0, 0)) for c in range(n))]
-
-
-def _score(hashes: str, weights: list[int]) -> Column:
-    """Mean weight of the text's 1- and 2-grams, in nats; 0 without words."""
-    of = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
-    total = F.aggregate(_cells(hashes, len(weights)), F.lit(0).cast("long"), lambda a, c: a + F.get(of, c))
-    n = F.size(hashes)
-    return F.when(n > 0, total / (n * (2 * GRAIN))).otherwise(F.lit(0.0))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        hashed = rows.select(fold_of(F.col("__id")).alias("fold"), F.transform(words(F.col("__text")), lambda w: F.xxhash64(w)).alias("hashes"))
+        return hashed.select("fold", F.explode(_cells("hashes")).alias("cell"))
+
+    def numbers(rows: DataFrame, *keys: str) -> dict[str, np.ndarray]:
+        found = rows.groupBy(*keys).count().toArrow()
+        return {c: found[c].to_numpy() for c in found.column_names}
+
+    target = np.zeros((FOLDS, CELLS))
+    found = numbers(counted(rows_of(given, ids, "__id")), "fold", "cell")
+    target[found["fold"], found["cell"]] = found["count"]
+    if not target.any():
+        return [0] * (FOLDS * CELLS)
+    corpus = np.zeros(CELLS)
+    found = numbers(counted(given), "cell")
+    corpus[found["cell"]] = found["count"]
+
+    def share(counts: np.ndarray) -> np.ndarray:
+        return np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * CELLS))
+
+    weights: list[int] = []
+    for fold in range(FOLDS):
+        others = target.sum(axis=0) - target[fold]
+        weights += np.rint(GRAIN * (share(others) - share(corpus))).astype(int).tolist() if others.any() else [0] * CELLS
+    return weights
+
+
+def _score(ones: str, twos: str, base: str, weights: list[int]) -> Column:
+    """Mean weight of the text's 1- and 2-grams (their hashes), in nats; 0 without words.  base: the fold's first weight of each half."""
+    half = CELLS // 2
+
+    def total(hashes: str, first: int) -> Column:
+        """Of one half of every fold's cells; ``first`` is that half's first cell."""
+        mine = [w for fold in range(FOLDS) for w in weights[fold * CELLS + first :][:half]]
+        of = F.split(F.lit(",".join(map(str, mine))), ",").cast("array<int>")
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: a + F.get(of, (F.pmod(x, F.lit(half)) + F.col(base)).cast("int")))
+
+    n = F.size(ones)
+    return F.when(n > 0, (total(ones, 0) + total(twos, half)) / (n * (2 * GRAIN))).otherwise(F.lit(0.0))
 
 
 def between(good: dict[int, int], low: dict[int, int]) -> float | None:
@@ -135,58 +185,81 @@ def between(good: dict[int, int], low: dict[int, int]) -> float | None:
     return (2 * best[2] - best[1]) / (2 * GRAIN) if best else at[0] / GRAIN
 
 
-def threshold_of(docs: DataFrame, weights: list[int], trusted: DataFrame, rejected: DataFrame | None, id_col: str, text_col: str) -> float:
-    """The threshold between the labelled rows that are long enough for the base rules.
+def threshold_of(scored: DataFrame, trusted: DataFrame, rejected: DataFrame | None) -> float:
+    """The threshold between the labelled rows of ``scored`` (id, n, score) that are long enough for the base rules.
 
     Only ids and whole-numbered scores meet the labels; the driver gets one row per score.
     """
-    hashed = docs.select(F.col(id_col).alias("__id"), F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w)).alias("__h"))
-    scored = hashed.select("__id", F.size("__h").alias("__n"), F.floor(_score("__h", weights) * GRAIN).alias("at"))
     labels = trusted.select(F.col("doc_id").alias("__t"), F.lit(1).alias("good"))
     if rejected is not None:
         labels = labels.union(rejected.select("doc_id", F.lit(0)))
-    met = scored.where(F.col("__n") >= MIN_WORDS).join(labels.distinct(), F.col("__id") == F.col("__t"))
+    at = scored.where(F.col("n") >= MIN_WORDS).select("id", F.floor(F.col("score") * GRAIN).alias("at"))
     found: tuple[dict, dict] = ({}, {})
-    for r in met.groupBy("good", "at").count().collect():
+    for r in at.join(labels.distinct(), F.col("id") == F.col("__t")).groupBy("good", "at").count().collect():
         found[r["good"]][r["at"]] = r["count"]
     cut = between(found[1], found[0])
     return THRESHOLD if cut is None else cut
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None, to: str = "quality", rejected: DataFrame | None = None) -> DataFrame:
-    """The input with the struct ``to``: counts, base_failed, score and kept.
+def judge(
+    docs: DataFrame,
+    trusted: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float | None = None,
+    to: str = "quality",
+    rejected: DataFrame | None = None,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """The input's ``columns`` (all of them) with the struct ``to``: counts, base_failed, score and kept.
 
     A null or empty text has no words (all counts 0) and fails the base rules.
     The score of a text without words is 0.  Without trusted documents every
-    score is 0 and the base rules alone decide.  Repeated rows are judged alike.
-    The threshold lies between the trusted rows and the ``rejected`` ones (ids
-    of low quality, column doc_id); without these it is the lowest trusted score.
+    score is 0 and the base rules alone decide.  Rows that repeat an id and a
+    text are judged alike.  The threshold lies between the trusted rows and the
+    ``rejected`` ones (ids of low quality, column doc_id); without these it is
+    the lowest trusted score.  Where it is not given, the scored rows are
+    written in the shared checkpoint folder, as both the threshold and the
+    verdict follow from them.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    columns = [c for c in (docs.columns if columns is None else columns) if c != to]
     weights = log_ratios(docs, trusted, id_col, text_col)
-    if threshold is None:
-        threshold = threshold_of(docs, weights, trusted, rejected, id_col, text_col) if any(weights) else THRESHOLD
-    lines = F.filter(F.split(text, "\\n"), lambda x: F.regexp_like(x, F.lit("[^ \\t-\\r]")))
-    rows = docs.withColumn("__w", words(text)).withColumn("__l", lines).withColumn("__n", F.size("__w"))
-    rows = rows.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
-    h = F.col("__h")
-    two = _pairs(h, _tail(h, 2), lambda a, b: F.xxhash64(a, b))
-    grams = F.slice(_pairs(two, _tail(h, 3), lambda a, b: F.xxhash64(a, b)), 1, F.greatest(F.col("__n") - 2, F.lit(0)))
-    rows = with_repeated_words(rows.withColumn("__g", grams), "__g", "__r")
-    rows = rows.withColumn("__s", _score("__h", weights))
-    failed = (F.col("__n") < MIN_WORDS) | (F.col("__r") * 100 > F.col("__n") * 50)
-    score = F.col("__s")
+    # the caller's columns travel in a struct, so none of them meets a helper's name
+    rows = docs.select(F.struct(F.lit(0).alias("any"), *columns).alias("given"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (fold_of(F.col(id_col)) * (CELLS // 2)).alias("base"))
+    lines = F.filter(F.split("text", "\\n"), lambda x: F.regexp_like(x, F.lit("[^ \\t-\\r]")))
+    rows = rows.withColumn("w", words(F.col("text"))).withColumn("l", lines).withColumn("n", F.size("w"))
+    rows = rows.withColumn("h", F.transform("w", lambda w: F.xxhash64(w)))
+    h = F.col("h")
+    rows = rows.withColumn("two", _pairs(h, _tail(h, 2), lambda a, b: F.xxhash64(a, b)))
+    grams = F.slice(_pairs(F.col("two"), _tail(h, 3), lambda a, b: F.xxhash64(a, b)), 1, F.greatest(F.col("n") - 2, F.lit(0)))
+    rows = with_repeated_words(rows.withColumn("g", grams), "g", "r")
+    scored = rows.select(
+        "given",
+        "id",
+        "n",
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
+        "r",
+        _score("h", "two", "base", weights).alias("score") if any(weights) else F.lit(0.0).alias("score"),
+    )
+    if threshold is None and any(weights):
+        scored = written(scored, "quality")
+        threshold = threshold_of(scored, trusted, rejected)
+    elif threshold is None:
+        threshold = THRESHOLD
+    failed = (F.col("n") < MIN_WORDS) | (F.col("r") * 100 > F.col("n") * 50)
     judged = F.struct(
-        F.col("__n").cast("long").alias("n_words"),
-        F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"),
-        F.col("__r").alias("n_repeat_words"),
+        F.col("n").cast("long").alias("n_words"),
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        F.col("r").alias("n_repeat_words"),
         failed.alias("base_failed"),
-        score.alias("score"),
-        (~failed & (score >= threshold)).alias("kept"),
+        "score",
+        (~failed & (F.col("score") >= threshold)).alias("kept"),
     )
-    return rows.select(*[c for c in docs.columns if c != to], judged.alias(to))
+    return scored.select(*[F.col("given")[c].alias(c) for c in columns], judged.alias(to))
 
 
 def keep(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:
@@ -195,5 +268,8 @@ def keep(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:
     The filter also asks for a row number, which keeps the optimizer from
     moving it below the verdict's steps and computing them again in each other.
     """
-    judged = judge(docs, trusted, to="__verdict", **options).withColumn("__row", F.monotonically_increasing_id())
-    return judged.where("__verdict.kept and __row >= 0").select(*docs.columns)
+    verdict = "__verdict"
+    while verdict in docs.columns:
+        verdict += "_"
+    judged = judge(docs, trusted, to=verdict, **options).select("*", F.monotonically_increasing_id().alias(verdict + "_row"))
+    return judged.where((F.col(verdict)["kept"]) & (F.col(verdict + "_row") >= 0)).select(*docs.columns)

@@ -86,7 +86,7 @@ def _labelled(spark: SparkSession, sf_dir: str, quality: int) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(documents(spark, sf_dir), _labelled(spark, sf_dir, 1), rejected=_labelled(spark, sf_dir, 0))
+    judged = quality.judge(documents(spark, sf_dir), _labelled(spark, sf_dir, 1), rejected=_labelled(spark, sf_dir, 0), columns=["doc_id"])
     return judged.select("doc_id", "quality.*")
 
 
