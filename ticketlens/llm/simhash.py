@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlens.llm.common import partitions, written
@@ -37,7 +37,6 @@ CHUNK = 2048
 _SEED = 42
 _WORDS_AT_ONCE = 1 << 14
 
-_FP_ARROW = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 _EDGE_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -64,16 +63,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprinter(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], schema=_FP_ARROW)
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(0)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(fps.view(np.int64)), *batch.columns[1:]], names=["fp", *batch.schema.names[1:]])
 
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return given.mapInArrow(_fingerprinter(shingle), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, row: Column | None = None) -> DataFrame:
+    """fp (the 64 bits as a signed long), doc_id and, where it is given, the binary column ``row``."""
+    given = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), *([] if row is None else [row.alias("row")]))
+    return given.mapInArrow(_fingerprinter(shingle), "fp long, doc_id long" + ("" if row is None else ", row binary"))
 
 
 def _planes(fps: np.ndarray) -> np.ndarray:
@@ -285,6 +284,14 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _rooted(made: DataFrame, radius: int) -> DataFrame:
+    """fp, least (the smallest id that has it) and root (a fingerprint that names its component) of the distinct fingerprints."""
+    distinct = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(distinct.select("fp"), radius))
+    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return written(named, "named")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id (the smallest id reachable over links of at most radius bits).
 
@@ -294,21 +301,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their own.  An empty table gives an empty result.
     """
     made = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp"), radius))
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = written(named, "named")
+    named = _rooted(made, radius)
     ids = written(named.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     return made.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents whose id names their group; of rows that repeat id and text, one.
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """16 bytes that name a row by all its columns."""
+    rest = F.to_json(F.struct(F.lit(0).alias("any"), *[F.col(c) for c in docs.columns if c != text_col]))
+    parts = (F.col(id_col).isNull(), F.col(text_col).isNull(), F.col(text_col), rest)
+    return F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *parts)), 16, "0") for k in (1, 2)]))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each group of near duplicates, the one with the smallest id; same columns as the input.
+
+    Of rows that share the id the one with the smallest digest of all columns
+    stays, so the choice does not depend on the order of the rows; rows that are
+    equal in every column count once.  A null id comes after all others.
 
-    Same columns as the input; a document with a null id stays if it is alone
-    in having none in its group.
+    Who stays is decided on narrow rows; the documents are exchanged once, by
+    the digest, which serves the join and the count of equal rows.
     """
-    found = near_duplicates(docs, shingle=shingle, radius=radius)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))).where("__row = 1").drop("__row")
+    key = "__row"
+    while key in docs.columns:
+        key += "_"
+    made = written(fingerprints(docs, id_col, text_col, shingle, _row_key(docs, id_col, text_col)), "fingerprints")
+    named = _rooted(made, radius).select("fp", "root")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    first = made.join(named, "fp").groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias(key))
+    keyed = docs.select("*", _row_key(docs, id_col, text_col).alias(key))
+    kept = keyed.join(first, key, "left_semi")
+    again = key + "n"
+    numbered = kept.withColumn(again, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return numbered.where(F.col(again) == 1).select(*docs.columns)
