@@ -175,7 +175,8 @@ def test_pipeline(spark, sf_dir):
 
     docs = common.table(spark, sf_dir, "documents")
     trusted = common.table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    kept = sorted(r["doc_id"] for r in quality.judge(docs, trusted).collect() if r["quality"]["kept"])
+    rejected = common.table(spark, sf_dir, "labels").where("quality = 0").select("doc_id")
+    kept = sorted(r["doc_id"] for r in quality.judge(docs, trusted, rejected=rejected).collect() if r["quality"]["kept"])
     one = common.written(corpus_pipeline.STAGES[0][1](spark, docs, sf_dir), "t")
     assert one.columns == docs.columns and sorted(r["doc_id"] for r in one.collect()) == kept
     two = common.written(corpus_pipeline.STAGES[1][1](spark, one, sf_dir), "t")
@@ -196,3 +197,23 @@ def test_pipeline(spark, sf_dir):
         empty = common.written(stage(spark, empty, sf_dir), "t")
         assert empty.count() == 0
     assert queries.QUERIES.keys() >= {"op1_substring_dedup", "op10_simhash"}
+
+
+def test_pipeline_with_odd_rows(spark, sf_dir, words):
+    """Null texts and ids, repeated ids and rows, very long texts, extra columns: every stage keeps the columns."""
+    import corpus_pipeline
+    from ticketlens.llm import common
+
+    docs = common.table(spark, sf_dir, "documents").limit(60)
+    extra = [(9001, None), (9002, ""), (None, words(80, 9000)), (9003, words(90, 9000)), (9003, words(90, 9000)), (9004, words(30_000, 9000)), (None, None)]
+    long = [(i, t, "en", s, len(t or "")) for i, t in extra for s in ("odd", None)]
+    odd = docs.union(spark.createDataFrame(long, docs.schema)).selectExpr("*", "'mine' as __row", "doc_id as fp", "text as __n", "source as root", "1 as key", "2 as given")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        odd = common.written(stage(spark, odd, sf_dir), "odd")
+        assert odd.columns == [*docs.columns, "__row", "fp", "__n", "root", "key", "given"], name
+        assert {r["__row"] for r in odd.select("__row").collect()} == {"mine"}
+        if name == "simhash near-dedup":
+            ids = [r["doc_id"] for r in odd.collect()]
+            assert ids.count(9003) == 2 and ids.count(9004) == 1 and ids.count(None) == 1
+    last = corpus_pipeline.STAGES[-1][1](spark, odd, sf_dir).collect()
+    assert len(last) == odd.count() and all(r["round_trip"] for r in last)
