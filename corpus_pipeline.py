@@ -18,9 +18,10 @@ PIECES = "piece_bpe_32k.model"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the target likelihood go."""
-    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality.keep(docs, trusted)
+    """Documents that fail the base rules or the target likelihood go; the verdict is that of the operator's own query."""
+    labels = table(spark, sf_dir, "labels")
+    trusted, rejected = (labels.where(F.col("quality") == q).select("doc_id") for q in (1, 0))
+    return quality.keep(docs, trusted, rejected=rejected)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
