@@ -98,3 +98,28 @@ def test_invariants_on_orders(spark, sf_dir):
             x["count"] for x in ev.confusion_dense(cube, labels).where(f"fold = {r.fold}").collect()
         )
     assert sum(r["count"] for r in ev.confusion_dense(cube, labels).collect()) == n
+
+
+def test_guards_of_the_evaluation(spark):
+    import pytest
+
+    schema = "fold int, id long, language string, y int, yhat int"
+    nothing = ev.outcome_cube(spark.createDataFrame([], schema))
+    with pytest.raises(Exception, match="no fold to summarise"):
+        ev.cv_overall(nothing, [(0, "a"), (1, "b")]).collect()
+    truth = spark.createDataFrame([(1, 0, "x"), (2, 1, "y")], "id long, y int, t string")
+    predicted = spark.createDataFrame([(1, 0, "p"), (2, 0, "q")], "id long, yhat int, z string")
+    assert sorted(map(tuple, ev.align(truth, predicted).collect())) == [(1, 0, "x", 0, "p"), (2, 1, "y", 0, "q")]
+    assert tuple(ev.alignment_counts(truth, predicted).first()) == (2, 0, 0, 1)
+    for t, p, message in ((truth, predicted.where("id = 1"), "no prediction for the row 2"), (truth.where("id = 2"), predicted, "no truth for the row 1")):
+        with pytest.raises(Exception, match=message):
+            ev.align(t, p).collect()
+    with pytest.raises(Exception, match="no truth for the row without an id"):
+        ev.align(truth, predicted.union(spark.createDataFrame([(None, 1, "n")], predicted.schema))).collect()
+
+
+def test_grouping_sets_leave_out_null_targets(spark):
+    rows = [(1, 1, "en", 0, 0), (1, 2, "en", 1, 1), (1, 3, "de", None, 1)]
+    df = spark.createDataFrame(rows, "fold int, id long, language string, y int, yhat int")
+    got = {r.slice: (r.accuracy, r.sample_count) for r in ev.metrics_grouping_sets(df, [(0, "a"), (1, "b")]).collect()}
+    assert got == {"overall": (1.0, 2), "en": (1.0, 2)}

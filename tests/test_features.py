@@ -78,3 +78,37 @@ def test_sublinear_tf_and_df_bounds(spark):
     assert kept == {"aa", "bb"}  # df ≥ 2 and df ≤ 3.8
     kept = {r.term for r in fe.idf_table(raw, 4, min_df=1, max_df=2).collect()}
     assert kept == {"bb", "cc", "dd"}  # absolute max_df: aa (df 3) dropped
+
+
+def test_exact_vectors(spark):
+    from pyspark.sql import functions as F
+
+    from ticketlens.operators import features as fe
+
+    weights = spark.createDataFrame([(1, "b", 0.6), (1, "a", 0.8), (2, "c", 1.0), (2, "unknown", 9.0)], "id long, term string, weight double")
+    vocabulary = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2), ("d", 3)], "term string, feature_id long")
+    ids = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, 1.0)], "id long, label_id double")
+    got = {r.id: r for r in fe.exact_vectors(weights, vocabulary, ids, 4).collect()}
+    assert {i: (r.features.size, r.features.indices.tolist(), r.features.values.tolist()) for i, r in got.items()} == {
+        1: (4, [0, 1], [0.8, 0.6]), 2: (4, [2], [1.0]), 3: (4, [], [])
+    }
+    assert got[2].label_id == 1.0
+    assert fe.exact_vectors(weights.limit(0), vocabulary, ids.limit(0), 4).count() == 0
+
+
+def test_files_that_lack_columns(spark, tmp_path):
+    import pytest
+
+    from ticketlens.sources import tickets as tk
+
+    path = str(tmp_path / "mixed")
+    rows = spark.createDataFrame([(1, "s", "b", "de"), (2, "t", "c", "en")], tk.REQUEST_SCHEMA)
+    rows.where("id = 1").drop("subject").write.parquet(path)
+    rows.where("id = 2").drop("language").write.mode("append").parquet(path)
+    assert sorted(map(tuple, tk.read_tickets(spark, path, tk.REQUEST_SCHEMA).collect())) == [(1, None, "b", "de"), (2, "t", "c", None)]
+    rows.drop("body").coalesce(1).write.mode("append").parquet(path)
+    with pytest.raises(Exception, match="files without a body"):
+        tk.read_tickets(spark, path, tk.REQUEST_SCHEMA).collect()
+    rows.drop("body").write.parquet(path + "2")
+    with pytest.raises(KeyError, match="body"):
+        tk.read_tickets(spark, path + "2", tk.REQUEST_SCHEMA)

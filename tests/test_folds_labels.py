@@ -61,3 +61,31 @@ def test_alphabetical_codes_and_weights(spark):
     assert codes == {"a": 0, "b": 1, "c": 2}
     w = {r.label: r.weight for r in lb.balanced_weights(df, "q").collect()}
     assert w["b"] == pytest.approx(5 / (3 * 3)) and w["a"] == pytest.approx(5 / 3)
+
+
+def test_guards_fire_inside_the_query(spark):
+    df = spark.createDataFrame([(i, "abc"[i % 3] if i else "rare") for i in range(31)], "id long, c string")
+    folded = fo.stratified_folds(df, "id", "c", n_splits=5)  # no job yet
+    with pytest.raises(Exception, match="strata with less than 5 rows: rare"):
+        folded.collect()
+    kept = fo.stratified_folds(df, "id", "c", n_splits=5, small="keep").collect()
+    assert len(kept) == 31 and {r.fold for r in kept} == {1, 2, 3, 4, 5}
+    assert fo.stratified_folds(df.where("c <> 'rare'"), "id", "c", n_splits=5).count() == 30
+
+    bad = spark.createDataFrame([("low",), ("worse",), ("odd",), (None,)], "p string")
+    coded = lb.encode_ordered(bad, "p", ("low", "high"))
+    with pytest.raises(Exception, match="labels not in the given order: odd, worse"):
+        coded.collect()
+    assert [r.label_id for r in lb.encode_ordered(bad, "p", ("low", "high"), unknown="null").collect()] == [0, None, None, None]
+    assert [r.label_id for r in lb.encode_ordered(bad.where("p = 'low' or p is null"), "p", ("low", "high")).collect()] == [0, None]
+
+
+def test_folds_do_not_depend_on_the_buckets(spark, monkeypatch):
+    df = spark.createDataFrame([(i if i % 9 else None, "ab"[i % 2]) for i in range(300)], "id long, c string")
+    found = []
+    for n in (1, 7, 256):
+        monkeypatch.setattr(fo, "LEAST_BUCKETS", n)
+        out = fo.stratified_folds(df, "id", "c")
+        found.append(sorted(map(repr, out.collect())))
+        assert out.count() == 300  # rows without an id are dealt too
+    assert found[0] == found[1] == found[2]

@@ -41,8 +41,8 @@ def test_ordinal_target_codes(spark, smoke):
 def test_cross_validation_beats_majority(spark, smoke):
     folded = fo.stratified_folds(smoke, "id", ["queue", "priority"], n_splits=3)
     prepared = pr.with_grams(pr.prepare_tickets(folded, partition_by="id"))
-    out, labels = ml.cross_validate(prepared, "queue", "logreg", n_folds=3, num_features=1 << 12)
-    assert out.count() == 30
+    out, labels, fits = ml.cross_validate(prepared, "queue", "logreg", n_folds=3, num_features=1 << 12)
+    assert out.count() == 30 and [k for k, _, _ in fits] == [1, 2, 3] and all(converged for _, _, converged in fits)
     overall = ev.cv_overall(ev.outcome_cube(out), list(enumerate(labels))).first()
     assert overall.macro_f1_mean > 0.1  # the majority class scores 1/100 here
 
@@ -102,3 +102,17 @@ def test_tasks_keep_null_and_repeated_ids(spark, smoke):
     req = spark.createDataFrame([(1, "a", "network"), (1, "b", "travel"), (None, "c", "payroll")], "id long, subject string, body string")
     out = registry._apply_tasks(ml.TicketTextPrep().transform(req), models).collect()
     assert sorted(map(repr, (r["id"] for r in out))) == ["1", "1", "None"] and all(r["queue_label"] and r["priority_label"] for r in out)
+
+
+def test_fold_scales_are_those_of_the_training_sides(spark, smoke):
+    """Counting once and subtracting gives every training side's own IDF, max_df included."""
+    from pyspark.ml import Pipeline
+
+    folded = fo.stratified_folds(smoke, "id", ["queue", "priority"], n_splits=3)
+    prepared = pr.with_grams(pr.prepare_tickets(folded, partition_by="id"))
+    tf = ml.HashingTF(inputCol="grams", outputCol="tf", numFeatures=1 << 10).transform(prepared).select("fold", "tf")
+    scales = ml.fold_scales(tf, [1, 2, 3], 1 << 10)
+    for k in (1, 2, 3):
+        own = Pipeline(stages=[ml.SmoothIdf(inputCol="tf", outputCol="x")]).fit(tf.where(F.col("fold") != k)).stages[0]
+        assert abs(own.getScalingVec().toArray() - scales[k]).max() < 1e-12
+    assert (scales[1] != scales[2]).any()

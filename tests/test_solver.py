@@ -48,3 +48,38 @@ def test_limit_is_reported(spark):
     df = spark.createDataFrame([(Vectors.dense([1.0, 0.5]), 0.0), (Vectors.dense([0.2, 1.0]), 1.0)], ["features", "label_id"])
     loss = ml.task_loss("logreg", "nominal", {0: 1, 1: 1}, 2)
     assert so.fit(df, loss, 2, 1e-9, 1)[1:] == (1, False)
+
+
+def test_folds_share_one_evaluation(spark):
+    """Models fitted together equal those fitted one by one on their own rows and scaled features."""
+    rng = np.random.default_rng(7)
+    x, y, fold = rng.random((60, 8)) * (rng.random((60, 8)) < 0.7), rng.integers(0, 3, 60), rng.integers(1, 4, 60)
+    x[5] = 0.0  # a row without terms
+    scales = {k: rng.random(8) for k in (1, 2, 3)}
+    rows = [(Vectors.sparse(8, {j: v for j, v in enumerate(r) if v}), float(c), int(f)) for r, c, f in zip(x, y, fold)]
+    table = so.sparse_rows(spark.createDataFrame(rows, ["tf", "label_id", "fold"]).repartition(5), "tf", fold="fold").persist()
+    problems = []
+    for k in (1, 2, 3):
+        counts = {c: int(((y == c) & (fold != k)).sum()) for c in range(3)}
+        problems.append(so.Problem(ml.task_loss("linear_svc", "nominal", counts, 3), k, scales[k]))
+    together = so.fit_all(table, problems, 8, 1e-3, 500)
+    assert all(converged for _, _, converged in together)
+    p, w = problems[1], together[1][0]
+    v = x[fold != p.without] * p.scale
+    length = np.linalg.norm(v, axis=1, keepdims=True)
+    v, own = v / np.where(length > 0, length, 1.0), y[fold != p.without]
+    reg = np.asarray(p.loss.reg)[:, None]
+    _, slope = p.loss.at(v @ w[:, :-1].T + w[:, -1], own)  # the gradient on the training side alone, in plain numpy
+    left = np.abs(np.hstack([slope.T @ v, slope.sum(axis=0)[:, None]]) + reg * w).max()
+    _, slope = p.loss.at(np.zeros((len(own), 3)), own)
+    assert left <= 1.01e-3 * np.abs(np.hstack([slope.T @ v, slope.sum(axis=0)[:, None]])).max()
+
+
+def test_evaluations_run_on_the_cores(spark):
+    """The tasks of an evaluation, and what they hand over, do not grow with the partitions of the rows."""
+    df = spark.range(4000).selectExpr("0 as fold", "cast(id % 2 as int) as y", "array(cast(id % 9000 as int)) as idx", "array(1.0d) as val").repartition(200)
+    loss = ml.task_loss("logreg", "nominal", {0: 2000, 1: 2000}, 2)
+    shared = spark.sparkContext.broadcast([so.Problem(loss)])
+    value, grad = so.evaluate(df, shared, {0: np.zeros((1, 9001))})[0]
+    assert value == pytest.approx(np.log(2)) and grad[0, 4000:9000].any() == 0 and np.abs(grad[0, :4000]).min() > 0
+    assert df.coalesce(spark.sparkContext.defaultParallelism).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

@@ -42,3 +42,48 @@ def test_streamed_model_scores_equal_batch(spark, sf_dir):
         b = batch[i]
         assert (row[0], row[1], row[3], row[4]) == (b[0], b[1], b[3], b[4])
         assert abs(row[2] - b[2]) < 1e-6 and abs(row[5] - b[5]) < 1e-6
+
+
+def test_repeated_and_null_ids_stay_rows(spark):
+    from ticketlens.streaming import triage as st
+
+    model = spark.createDataFrame([("printer", 1.5, [2.0, -1.0]), ("salary", 1.2, [-1.0, 3.0])], "term string, idf double, coefs array<double>")
+    rows = [(1, "a", "printer"), (1, "b", "salary"), (None, "c", "salary salary"), (2, "", "x"), (3, "nothing", "known")]
+    batch = spark.createDataFrame(rows, "id long, subject string, body string").repartition(3)
+    got = sorted((repr(r.id), r.label) for r in st.relational_scorer(model, [0.1, 0.0], ["it", "pay"])(batch).collect())
+    assert got == [("1", "it"), ("1", "pay"), ("2", "it"), ("3", "it"), ("None", "pay")]
+
+
+def test_promotion_reaches_the_next_epoch(spark, tmp_path):
+    """One stream, a file an epoch; the second scorer is promoted while the first epoch is written."""
+    from ticketlens.operators import runs as rn
+    from ticketlens.streaming import triage as st
+
+    store, loaded = str(tmp_path / "store"), []
+
+    def promote(name):
+        rn.promote(spark, store, spark.createDataFrame([("triage", name)], "task string, run_id string"))
+
+    def load(promoted):
+        loaded.append(promoted.first().run_id)
+        return lambda batch: batch.selectExpr("id", f"'{loaded[-1]}' as label")
+
+    follow = st.promoted_scorer(spark, store, load)
+
+    def score(batch):
+        out = follow(batch)
+        promote("second")
+        return out
+
+    requests = spark.createDataFrame([(i, "s", "b" if i else "", None) for i in range(9)], "id long, subject string, body string, language string")
+    source = str(tmp_path / "requests")
+    requests.repartition(3).write.parquet(source)
+    promote("first")
+    accepted, rejected = st.run_triage_stream(spark, source, score, str(tmp_path / "sink"), str(tmp_path / "check"), max_files_per_trigger=1)
+    labels = {(r.epoch, r.label) for r in spark.read.parquet(accepted).collect()}
+    assert {e for e, _ in labels} == {0, 1, 2} and {x for e, x in labels if e == 0} == {"first"} and {x for e, x in labels if e} == {"second"}
+    assert loaded == ["first", "second", "second"][: len(loaded)] and len(loaded) >= 2
+    counts = {r.epoch: (r.requests, r.accepted, r.rejected) for r in spark.read.parquet(str(tmp_path / "sink" / "counts")).collect()}
+    for epoch, (n, a, b) in counts.items():
+        assert a == spark.read.parquet(accepted).where(f"epoch = {epoch}").count() and b == spark.read.parquet(rejected).where(f"epoch = {epoch}").count() and n == a + b
+    assert sum(n for n, _, _ in counts.values()) == 9 and sum(b for _, _, b in counts.values()) == 1

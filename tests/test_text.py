@@ -57,7 +57,7 @@ def prepared(spark, rows, schema):
 
 def test_missing_body_raises(spark):
     df = spark.createDataFrame([("printer issue",)], "subject string")
-    with pytest.raises(KeyError, match="Missing text column: body"):
+    with pytest.raises(KeyError, match="no text column named body"):
         pr.prepare_tickets(df)
 
 

@@ -11,6 +11,7 @@ same spellings run in RE2 (DuckDB), which lets the SQL oracle share them.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -169,3 +170,8 @@ def run_slug(col: Column) -> Column:
     replaced = F.regexp_replace(col, r"[^A-Za-z0-9_.\-]+", "-")
     stripped = F.regexp_replace(replaced, r"^-+|-+$", "")
     return F.when(stripped == "", F.lit("run")).otherwise(stripped)
+
+
+def slug_of(value: str) -> str:
+    """``run_slug`` of one string, for names of files."""
+    return re.sub(r"[^A-Za-z0-9_.\-]+", "-", value).strip("-") or "run"

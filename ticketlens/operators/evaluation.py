@@ -46,6 +46,36 @@ def missing_targets(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("fold").agg(F.count_if(F.col("y").isNull()).alias("n_missing_target"), F.count(F.lit(1)).alias("n"))
 
 
+def alignment_counts(truth: DataFrame, predicted: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row (aligned, truth_only, prediction_only, agreeing) over (id, y) and (id, yhat)."""
+    j = _sides(truth, predicted, id_col)
+    return j.agg(
+        F.count_if(F.col("_t").isNotNull() & F.col("_p").isNotNull()).alias("aligned"),
+        F.count_if(F.col("_p").isNull()).alias("truth_only"),
+        F.count_if(F.col("_t").isNull()).alias("prediction_only"),
+        F.count_if(F.col("y") == F.col("yhat")).alias("agreeing"),
+    )
+
+
+def align(truth: DataFrame, predicted: DataFrame, id_col: str = "id") -> DataFrame:
+    """truth ⋈ predicted on the row id; a row that the other side lacks fails the query and is named.
+
+    Ids have to be unique on both sides, as rows are paired by them; a null id pairs with none.
+    """
+    j = _sides(truth, predicted, id_col)
+    lacks = F.when(F.col("_p").isNull(), F.lit("no prediction for the row ")).when(F.col("_t").isNull(), F.lit("no truth for the row "))
+    name = F.coalesce(F.col("_t.id"), F.col("_p.id")).cast("string")
+    checked = F.when(lacks.isNotNull(), F.raise_error(F.concat(lacks, F.coalesce(name, F.lit("without an id"))))).otherwise(F.col("_t.id"))
+    kept = [c for c in truth.columns if c != id_col] + [c for c in predicted.columns if c != id_col]
+    return j.select(checked.cast(truth.schema[id_col].dataType).alias(id_col), *kept)
+
+
+def _sides(truth: DataFrame, predicted: DataFrame, id_col: str) -> DataFrame:
+    t = truth.select(F.struct(F.col(id_col).alias("id")).alias("_t"), *[c for c in truth.columns if c != id_col])
+    p = predicted.select(F.struct(F.col(id_col).alias("id")).alias("_p"), *[c for c in predicted.columns if c != id_col])
+    return t.join(p, F.col("_t.id") == F.col("_p.id"), "full_outer")
+
+
 def _label_ids(labels):
     return [int(i) for i, _ in labels]
 
@@ -127,10 +157,10 @@ def metrics_grouping_sets(outcomes: DataFrame, labels) -> DataFrame:
     """Overall and per-language slices from ONE grouping-sets aggregate.
 
     (fold, slice, accuracy, macro_f1, sample_count) where slice is
-    'overall' or the language.
+    'overall' or the language. Rows without a target are left out.
     """
     lang = tx.language_for_slices(F.col("language"))
-    base = outcomes.select("fold", lang.alias("language"), "y", "yhat")
+    base = outcomes.where(F.col("y").isNotNull()).select("fold", lang.alias("language"), "y", "yhat")
     cube = (
         base.groupingSets([["fold", "y", "yhat"], ["fold", "language", "y", "yhat"]], "fold", "language", "y", "yhat")
         .agg(F.count(F.lit(1)).alias("n"), F.grouping("language").alias("_g"))
@@ -173,9 +203,11 @@ def _mean_std(col: str):
 
 
 def cv_overall(cube: DataFrame, labels) -> DataFrame:
-    """One row: accuracy and macro-F1 mean and population std over folds."""
+    """One row: accuracy and macro-F1 mean and population std over folds; without a fold the query fails."""
     m = _slice_metrics(cube, labels, ["fold"])
-    return m.agg(*_mean_std("accuracy"), *_mean_std("macro_f1"))
+    wide = m.agg(*_mean_std("accuracy"), *_mean_std("macro_f1"), F.count(F.lit(1)).alias("_folds"))
+    none = F.raise_error(F.lit("no fold to summarise")).cast("double")
+    return wide.select(*[F.when(F.col("_folds") == 0, none).otherwise(F.col(c)).alias(c) for c in wide.columns[:-1]])
 
 
 def cv_per_class(cube: DataFrame, labels) -> DataFrame:

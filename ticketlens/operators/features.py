@@ -19,8 +19,10 @@ Plan shape (see README "Scale"):
 
 from __future__ import annotations
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Vectoriser defaults.
 MIN_DF = 1
@@ -123,6 +125,33 @@ def vocabulary_topk(tf: DataFrame, idf: DataFrame, k: int) -> DataFrame:
     return kept.orderBy(F.col("corpus_tf").desc(), F.col("term").asc()).limit(k)
 
 
+def exact_entries(weights: DataFrame, vocabulary: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id, entries): a document's (feature_id, weight) pairs in column order.
+
+    The vocabulary stays a table: a term becomes its column by a join, one row
+    per (document, term), and a sorted aggregate puts a document's entries together.
+    """
+    indexed = weights.join(vocabulary.select("term", "feature_id"), "term")
+    return indexed.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(F.col("feature_id").cast("int").alias("feature_id"), "weight"))).alias("entries"))
+
+
+def exact_vectors(weights: DataFrame, vocabulary: DataFrame, ids: DataFrame, size: int, id_col: str = "id", out_col: str = "features") -> DataFrame:
+    """``ids`` with a sparse vector of ``size`` columns; a row without known terms has an empty one.
+
+    Spark SQL has no function that makes a sparse vector, so the struct a vector
+    consists of passes through one Arrow step that only changes its type.
+    """
+    rows = ids.join(exact_entries(weights, vocabulary, id_col), id_col, "left")
+    entries = F.coalesce(F.col("entries"), F.array().cast("array<struct<feature_id:int,weight:double>>"))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(int(size)).alias("size"),
+        F.transform(entries, lambda e: e["feature_id"]).alias("indices"), F.transform(entries, lambda e: e["weight"]).alias("values"),
+    )
+    flat = rows.select(*ids.columns, vector.alias(out_col))
+    schema = T.StructType([f for f in flat.schema if f.name != out_col] + [T.StructField(out_col, VectorUDT(), True)])
+    return flat.mapInArrow(lambda batches: batches, schema)
+
+
 def length_feature(prepared: DataFrame, train_flag: str | None = None, length_col: str = "ticket_text_length"):
     """length / max(train max length, 1.0), the max taken over training rows only."""
     base = prepared if train_flag is None else prepared.where(F.col(train_flag))

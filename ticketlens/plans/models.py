@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegressionModel, OneVsRest, OneVsRestModel
@@ -47,9 +48,12 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import evaluation as ev
 from ..operators import features as fe
 from ..operators import prepare as pr
+from ..operators import runs as rn
 from ..operators import scoring as sc
+from ..session import scratch_path
 from . import solver as so
 
 # Model settings per algorithm and task.
@@ -58,7 +62,8 @@ C_BY_ALGORITHM_AND_TASK = {
     "linear_svc": {"nominal": 16.0, "ordinal": 12.0},
 }
 MAX_ITER = 5000
-TOL = 1e-4  # the stopping tolerance of the reference's solvers (library default)
+#: Largest gradient entry at which a fit stops: of the mean log loss as it is, of the squared hinge relative to the first gradient's.
+TOL = {"logreg": 1e-4, "linear_svc": 1e-3}
 NUM_FEATURES = 1 << 18
 
 
@@ -161,7 +166,7 @@ def fit_classifier(vectors: DataFrame, algorithm: str, kind: str, n_classes: int
     """(model, iterations, converged) on the persisted (features, label_id) rows."""
     loss = task_loss(algorithm, kind, class_counts(vectors), n_classes)
     width = vectors.select("features").first()[0].size
-    coefs, used, converged = so.fit(vectors, loss, width, TOL, max_iter)
+    coefs, used, converged = so.fit(vectors, loss, width, TOL[algorithm], max_iter)
     return _stock_model(algorithm, coefs), used, converged
 
 
@@ -270,6 +275,54 @@ def fit_task(
     return fitted, labels
 
 
+@dataclass(frozen=True)
+class ExactModel:
+    """A linear model over an exact vocabulary: (term, idf, coefs), intercepts, labels."""
+
+    table: DataFrame
+    intercepts: list[float]
+    labels: list[str]
+    feature_columns: int
+    iterations: int
+    converged: bool
+
+
+def fit_exact(rows: DataFrame, target: str, algorithm: str = "linear_svc", order=None, max_iter: int = MAX_ITER) -> ExactModel:
+    """Fit a task on every term of its training rows, without hashing and without a vocabulary on the driver.
+
+    Vectors are put together by a join with the vocabulary table; the coefficients,
+    whose number is the vocabulary's, come back to it as a table, which scores
+    relationally (``streaming.triage.relational_scorer``).
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "labelled")  # written: the row key has to be the same wherever it is read
+    rows.where(F.col(target).isNotNull()).withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    labelled = spark.read.parquet(path)
+    prepared = pr.with_grams(pr.prepare_tickets(labelled, partition_by="_row")).select("_row", target, "grams").persist(StorageLevel.MEMORY_AND_DISK)
+    if prepared.isEmpty():
+        raise ValueError(f"no row has a value for the target '{target}'")
+    indexer = target_indexer(target, order)
+    if isinstance(indexer, StringIndexer):
+        indexer = indexer.fit(prepared)
+    labels = list(indexer.labels)
+    tf = fe.term_frequency(prepared, "_row")
+    path = scratch_path(spark, "vocabulary")
+    idf = fe.idf_table(tf, fe.corpus_size(prepared))
+    fe.vocabulary_index(idf).join(idf.select("term", "idf"), "term").write.parquet(path)
+    vocabulary = spark.read.parquet(path)
+    width = vocabulary.count()
+    coded = indexer.transform(prepared.select("_row", target)).select("_row", "label_id")
+    vectors = fe.exact_vectors(fe.tfidf_l2(tf, vocabulary, "_row"), vocabulary, coded, width, "_row").persist(StorageLevel.MEMORY_AND_DISK)
+    kind = "ordinal" if order is not None else "nominal"
+    loss = task_loss(algorithm, kind, class_counts(vectors), len(labels))
+    coefs, used, converged = so.fit(vectors, loss, width, TOL[algorithm], max_iter)
+    vectors.unpersist()
+    prepared.unpersist()
+    columns = pa.table({"feature_id": np.arange(width), "coefs": pa.FixedSizeListArray.from_arrays(np.ascontiguousarray(coefs[:, :-1].T).ravel(), len(coefs)).cast(pa.list_(pa.float64()))})
+    table = vocabulary.join(spark.createDataFrame(columns), "feature_id").select("term", "idf", "coefs")
+    return ExactModel(table, coefs[:, -1].tolist(), labels, width, used, converged)
+
+
 def predictions(model: PipelineModel, rows: DataFrame, labels, target: str | None = None) -> DataFrame:
     """Scored rows with ``scores`` (array) and the top-2 struct ``triage``."""
     out = model.transform(rows)
@@ -278,6 +331,26 @@ def predictions(model: PipelineModel, rows: DataFrame, labels, target: str | Non
     return out
 
 
+def fold_scales(tf: DataFrame, folds: list[int], num_features: int = NUM_FEATURES, max_df: float = fe.MAX_DF) -> dict[int, np.ndarray]:
+    """The IDF scale of every fold's training side, from one pass over (fold, tf) rows.
+
+    One aggregate counts a bucket's documents in each fold (num_features x folds
+    numbers); a training side's frequency is the total less the fold's own.
+    """
+    inside = [F.count_if(F.col("fold") == k).alias(f"n{k}") for k in folds]
+    buckets = tf.select("fold", F.explode(F.unwrap_udt("tf")["indices"]).alias("bucket"))
+    counts = buckets.groupBy("bucket").agg(*inside).toArrow()
+    sizes = {r["fold"]: r["count"] for r in tf.groupBy("fold").count().collect()}
+    held = np.zeros((len(folds), num_features))
+    held[:, counts["bucket"].to_numpy()] = [counts[f"n{k}"].to_numpy() for k in folds]
+    total, n_docs = held.sum(axis=0), sum(sizes.values())
+    scales = {}
+    for k, own in zip(folds, held, strict=True):
+        n, df = float(n_docs - sizes.get(k, 0)), total - own
+        scales[k] = np.where((df >= 1) & (df <= max_df * n), np.log((1.0 + n) / (1.0 + df)) + 1.0, 0.0)
+    return scales
+
+
 def cross_validate(
     prepared_rows: DataFrame,
     target: str,
@@ -286,40 +359,77 @@ def cross_validate(
     n_folds: int = 5,
     num_features: int = NUM_FEATURES,
     max_iter: int = MAX_ITER,
-    parallelism: int = 5,
-) -> DataFrame:
-    """(fold, id, language, y, yhat) for every labelled row, each fold predicted
-    by a model fitted on the other folds only (features included).
-
-    ``prepared_rows`` carries ``fold`` and ``grams``; it is persisted once and
-    each fold's fit is a set of distributed Spark jobs.
+):
+    """(outcomes, labels, fits): (fold, id, language, y, yhat) of every labelled row, as a table
+    in the shared folder, each fold predicted by a model fitted on the other folds only
+    (features included).
+
+    ``prepared_rows`` carries ``fold`` (1..n_folds) and ``grams``. Terms are counted
+    once; every fold's IDF and class weights come from the counts by subtraction, and
+    all folds are fitted over the one persisted table of counts, an evaluation of
+    all of them being one Spark job. ``fits`` has (fold, iterations, converged).
     """
     if n_folds < 1:
         raise ValueError("n_folds must be 1 or more")
-    base = prepared_rows.where(F.col(target).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    base = prepared_rows.where(F.col(target).isNotNull())
     indexer = target_indexer(target, order)
     if isinstance(indexer, StringIndexer):
         indexer = indexer.fit(base)
     labels = list(indexer.labels)
     kind = "ordinal" if order is not None else "nominal"
-
-    def one_fold(k: int) -> DataFrame:
-        model, _ = fit_task(
-            base.where(F.col("fold") != k), target, algorithm, labels,
-            with_text=False, num_features=num_features, max_iter=max_iter, kind=kind,
-        )
-        scored = model.transform(indexer.transform(base.where(F.col("fold") == k)))
-        lab_to_id = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("predicted_label")) - 1
-        return scored.select(
-            F.col("fold").cast("int").alias("fold"),
-            "id",
-            "language",
-            F.col("label_id").cast("int").alias("y"),
-            lab_to_id.cast("int").alias("yhat"),
-        )
-
-    # Fold fits are independent Spark jobs: submit them from several driver
-    # threads (as CrossValidator's ``parallelism`` does) so small fits overlap.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_folds))) as pool:
-        parts = list(pool.map(one_fold, range(1, n_folds + 1)))
-    return reduce(DataFrame.unionByName, parts), labels
+    counter = HashingTF(inputCol="grams", outputCol="tf", numFeatures=num_features)
+    tf = counter.transform(indexer.transform(base)).select("id", F.col("fold").cast("int").alias("fold"), "language", "label_id", "tf")
+    tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+    folds = list(range(1, n_folds + 1))
+    scales = fold_scales(tf, folds, num_features)
+    counts = {(r["fold"], int(r["label_id"])): r["count"] for r in tf.groupBy("fold", "label_id").count().collect()}
+    problems = []
+    for k in folds:
+        train = {c: sum(n for (f, of), n in counts.items() if of == c and f != k) for c in range(len(labels))}
+        if not sum(train.values()):
+            raise ValueError(f"fold {k} leaves no row to fit on")
+        problems.append(so.Problem(task_loss(algorithm, kind, {c: n for c, n in train.items() if n}, len(labels)), k, scales[k]))
+    fitted = so.fit_all(so.sparse_rows(tf, "tf", fold="fold"), problems, num_features, TOL[algorithm], max_iter)
+
+    names = F.array(*[F.lit(x) for x in labels])
+    parts = []
+    for k, (coefs, _, _) in zip(folds, fitted, strict=True):
+        model = PipelineModel([
+            ElementwiseProduct(scalingVec=Vectors.dense(scales[k]), inputCol="tf", outputCol="tfidf"),
+            Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+            _stock_model(algorithm, coefs),
+            IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels),
+        ])
+        scored = model.transform(tf.where(F.col("fold") == k))
+        yhat = F.array_position(names, F.col("predicted_label")) - 1
+        parts.append(scored.select("fold", "id", "language", F.col("label_id").cast("int").alias("y"), yhat.cast("int").alias("yhat")))
+    fits = [(k, used, converged) for k, (_, used, converged) in zip(folds, fitted, strict=True)]
+    path = scratch_path(prepared_rows.sparkSession, "outcomes")
+    reduce(DataFrame.unionByName, parts).write.parquet(path)
+    tf.unpersist()
+    return prepared_rows.sparkSession.read.parquet(path), labels, fits
+
+
+def record_cross_validation(spark, store: str, run_id: str, prepared_rows: DataFrame, target: str, algorithm: str, order=None, num_features: int = NUM_FEATURES, **options):
+    """Cross-validate a task and commit the run to the store; returns the labels.
+
+    Tables of the run: outcomes, fits, runs, run_metrics and the summaries per class,
+    one-vs-rest, confusion and language. Nobody sees any of them before the commit.
+    """
+    outcomes, labels, fits = cross_validate(prepared_rows, target, algorithm, order, num_features=num_features, **options)
+    named = list(enumerate(labels))
+    cube = ev.outcome_cube(outcomes)
+    tables = {
+        "outcomes": outcomes,
+        "fits": spark.createDataFrame(fits, "fold int, iterations int, converged boolean"),
+        "runs": spark.createDataFrame([(algorithm, num_features)], "algorithm string, feature_columns long"),
+        "run_metrics": ev.metrics_long(cube, named),
+        "cv_per_class": ev.cv_per_class(cube, named),
+        "cv_ovr": ev.cv_ovr(cube, named),
+        "cv_confusion": ev.cv_confusion_long(cube, named),
+        "cv_language": ev.cv_language(cube, named),
+    }
+    kind = "ordinal" if order is not None else "nominal"
+    params = {"algorithm": algorithm, "C": C_BY_ALGORITHM_AND_TASK[algorithm][kind], "num_features": num_features, "labels": labels}
+    rn.write_run(spark, store, run_id, target, tables, params=params, metrics={"iterations": max(used for _, used, _ in fits)})
+    return labels

@@ -220,6 +220,22 @@ def q_feature_count(spark, d):
     return idf.agg(F.count(F.lit(1)).alias("feature_count"))
 
 
+@register(
+    "exact_vectors",
+    lambda: f"""WITH {S.tf_ctes()}, v AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS feature_id FROM idf)
+    SELECT id, CAST(feature_id AS INTEGER) AS feature_id, round(weight, 6) AS weight FROM tfidf JOIN v USING (term)""",
+)
+def q_exact_vectors(spark, d):
+    """Sparse vectors over the exact vocabulary of all documents, read back as (id, column, weight)."""
+    tf, idf = _idf(spark, d)
+    vocabulary = fe.vocabulary_index(idf)
+    rows = V.tickets(spark, d, False).select("id")
+    made = fe.exact_vectors(fe.tfidf_l2(tf, idf), vocabulary, rows, idf.count())
+    v = F.unwrap_udt("features")
+    entries = F.zip_with(v["indices"], v["values"], lambda i, w: F.struct(i.alias("i"), w.alias("w")))
+    return made.select("id", F.explode(entries).alias("e")).select("id", F.col("e.i").alias("feature_id"), _r(F.col("e.w")).alias("weight"))
+
+
 TOPK = 1000
 
 
@@ -404,15 +420,21 @@ def q_prediction_alignment(spark, d):
     """
     truth = tables.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
     pred = tables.table(spark, d, "documents").select(
-        F.col("doc_id").alias("pid"), (F.col("n_chars") > 500).cast("int").alias("yhat")
-    )
-    j = truth.join(pred, truth.id == pred.pid, "full_outer")
-    return j.agg(
-        F.count(F.when(F.col("id").isNotNull() & F.col("pid").isNotNull(), 1)).alias("aligned"),
-        F.count(F.when(F.col("pid").isNull(), 1)).alias("truth_only"),
-        F.count(F.when(F.col("id").isNull(), 1)).alias("prediction_only"),
-        F.count(F.when(F.col("y") == F.col("yhat"), 1)).alias("agreeing"),
+        F.col("doc_id").alias("id"), (F.col("n_chars") > 500).cast("int").alias("yhat")
     )
+    return ev.alignment_counts(truth, pred)
+
+
+@register(
+    "aligned_outcomes",
+    lambda: """SELECT l.doc_id AS id, CAST(l.quality AS INTEGER) AS y, CAST(d.n_chars > 500 AS INTEGER) AS yhat
+    FROM labels l JOIN documents d ON d.doc_id = l.doc_id""",
+)
+def q_aligned_outcomes(spark, d):
+    """Every labelled row with its prediction; the query fails if a side lacks a row."""
+    labels = tables.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("y"))
+    docs = tables.table(spark, d, "documents").join(labels.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    return ev.align(labels, docs.select(F.col("doc_id").alias("id"), (F.col("n_chars") > 500).cast("int").alias("yhat")))
 
 
 # ---------------------------------------------------------------- evaluation (E)
@@ -484,6 +506,20 @@ def q_metrics_grouping_sets(spark, d):
     return ev.metrics_grouping_sets(V.outcomes(spark, d), LABELS)
 
 
+@register(
+    "grouping_sets_null_targets",
+    lambda: f"""WITH {S.cube_ctes(QUALITY_LABELS, outcomes=_quality_outcomes_sql())}
+    SELECT fold, 'overall' AS slice, round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1, CAST(sample_count AS BIGINT) AS sample_count FROM fold_m
+    UNION ALL
+    SELECT fold, language, round(accuracy, 6), round(macro_f1, 6), CAST(sample_count AS BIGINT) FROM lang_m""",
+)
+def q_grouping_sets_null_targets(spark, d):
+    """All documents, most without a target: only those with one count."""
+    folds = V.doc_folds(spark, d).select("id", "fold", "language", F.col("quality").cast("int").alias("y"))
+    docs = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), (F.col("n_chars") > 500).cast("int").alias("yhat"))
+    return ev.metrics_grouping_sets(folds.join(docs, "id"), QUALITY_LABELS)
+
+
 @register(
     "cv_overall",
     lambda: f"WITH {S.cube_ctes(LABELS)} SELECT {S.ms('accuracy')}, {S.ms('macro_f1')} FROM fold_m",
@@ -707,9 +743,9 @@ def _run_metrics(spark, d):
     return rn.overall_metrics_by_run(_run_outcomes(spark, d), LABELS)
 
 
-def _run_sql() -> str:
+def _run_sql(rules=RUN_RULES) -> str:
     lv = S.labels_values(LABELS)
-    rules = ", ".join(f"({r})" for r in RUN_RULES)
+    rules = ", ".join(f"({r})" for r in rules)
     return f"""{S.ORDERS_BASE},
 order_folds AS {S.folds_sql('order_rows', 'id', V.ORDER_STRATA)},
 ro AS (SELECT '{RUN_TASK}-rule-' || CAST(rr.r AS VARCHAR) AS run_id, fold, id, y,
@@ -780,6 +816,72 @@ def q_promotion_mismatches(spark, d):
     return rn.promotion_mismatches(rn.promoted_runs(board), serving)
 
 
+@register(
+    "run_tables_rewritten",
+    lambda: f"WITH {_run_sql()} SELECT run_id, '{RUN_TASK}' AS task, key, value FROM run_metrics",
+)
+def q_run_tables_rewritten(spark, d):
+    """The run metrics written, one run of them written again, as by a task that is retried, and read back."""
+    path = scratch_path(spark, "run-metrics")
+    rows = _run_metrics(spark, d).withColumn("task", F.lit(RUN_TASK))
+    rn.write_table(rows, path)
+    rn.write_table(rows.where(F.col("run_id") == _run_id(RUN_RULES[1])), path)
+    return rn.read_table(spark, path).select("run_id", "task", "key", "value")
+
+
+#: The run that is staged and never committed.
+KILLED_RULE = 4
+
+
+def _run_store(spark, d) -> str:
+    """A store with the rule runs: all staged, all but one committed, one of them written twice."""
+    store = scratch_path(spark, "runs")
+    named = {"runs": _runs_table(spark, d), "run_metrics": _run_metrics(spark, d).withColumn("task", F.lit(RUN_TASK))}
+    attempt = rn.stage_run(store, named)
+    for rule in RUN_RULES:
+        if rule != KILLED_RULE:
+            rn.commit_run(spark, store, _run_id(rule), RUN_TASK, attempt)
+    again = rn.stage_run(store, {name: df.where(F.col("run_id") == _run_id(0)) for name, df in named.items()})
+    rn.commit_run(spark, store, _run_id(0), RUN_TASK, again)
+    return store
+
+
+def _stored_board(spark, store):
+    metrics = rn.read_run_table(spark, store, "run_metrics").drop("task")
+    return rn.leaderboard(rn.read_run_table(spark, store, "runs"), metrics)
+
+
+@register(
+    "committed_leaderboard",
+    lambda: f"""WITH {_run_sql([r for r in RUN_RULES if r != KILLED_RULE])}
+    SELECT run_id, task, algorithm, feature_columns, accuracy_mean, accuracy_std, macro_f1_mean, macro_f1_std, rank FROM board""",
+)
+def q_committed_leaderboard(spark, d):
+    """Ranking of the committed runs of a store: a killed run is not seen, one written twice counts once."""
+    board = _stored_board(spark, _run_store(spark, d))
+    return board.select("run_id", "task", "algorithm", "feature_columns", "accuracy_mean", "accuracy_std", "macro_f1_mean", "macro_f1_std", "rank")
+
+
+@register(
+    "promoted_current",
+    lambda: f"""WITH {_run_sql([r for r in RUN_RULES if r != KILLED_RULE])}
+    SELECT task, run_id, accuracy_mean, accuracy_std, macro_f1_mean, macro_f1_std FROM board WHERE rank = 1""",
+)
+def q_promoted_current(spark, d):
+    """What is promoted after a first promotion, a second one, and one that is refused."""
+    store = _run_store(spark, d)
+    board = _stored_board(spark, store)
+    last = board.where(F.col("rank") == board.agg(F.max("rank")).scalar()).withColumn("rank", F.lit(1))
+    rn.promote(spark, store, rn.promoted_runs(last))
+    best = rn.promoted_runs(board)
+    rn.promote(spark, store, best, serving=best.select("task", "run_id"))
+    try:
+        rn.promote(spark, store, rn.promoted_runs(last), serving=best.select("task", "run_id"))
+    except ValueError:
+        return rn.read_promoted(spark, store)
+    raise AssertionError("a promotion that differs from the serving list was taken")
+
+
 # ------------------------------------------------------------ scans, sinks (S)
 
 
@@ -801,6 +903,23 @@ def q_ticket_scan(spark, d):
     return back.select("id", tx.text_or_empty(F.col("subject")).alias("subject"), tx.text_or_empty(F.col("body")).alias("body"), "language")
 
 
+def _mixed_sql() -> str:
+    return f"""WITH {S.TICKETS}, m AS (SELECT id, CASE WHEN id % 3 <> 1 THEN subject END AS subject, body, CASE WHEN id % 3 <> 2 THEN language END AS language FROM tickets)
+    SELECT id, {S.combine_text('subject', 'body')} AS ticket_text, {S.language_for_text('language')} AS language FROM m"""
+
+
+@register("mixed_ticket_scan", _mixed_sql)
+def q_mixed_ticket_scan(spark, d):
+    """A folder whose files differ: some lack the subject, some the language; what is missing is read as null."""
+    path = scratch_path(spark, "mixed-tickets")
+    t = V.tickets(spark, d, False)
+    t.where("id % 3 = 0").write.parquet(path)
+    t.where("id % 3 = 1").drop("subject").write.mode("append").parquet(path)
+    t.where("id % 3 = 2").drop("language").write.mode("append").parquet(path)
+    back = tk.read_tickets(spark, path, tk.REQUEST_SCHEMA)
+    return back.select("id", tx.combine_text(F.col("subject"), F.col("body")).alias("ticket_text"), tx.language_for_text(F.col("language")).alias("language"))
+
+
 @register(
     "dataset_profile",
     lambda: "SELECT 'documents' AS dataset_id, CAST(count(*) AS BIGINT) AS dataset_row_count FROM documents",
@@ -919,15 +1038,45 @@ def q_fit_svc_checks(spark, d):
     ).withColumn("converged", F.lit(ml.iterations(model)[1]))
 
 
-def _cv(spark, d, target="lang", algorithm="logreg"):
-    key = (spark.sparkContext.applicationId, d, "cv", target, algorithm)
+@register(
+    "fit_exact_checks",
+    lambda: f"""WITH {S.prepared_ctes()}, g AS (SELECT id, unnest(grams) AS term FROM grams WHERE quality IS NOT NULL),
+    n AS (SELECT count(*) AS n FROM tickets WHERE quality IS NOT NULL),
+    v AS (SELECT term FROM g GROUP BY term HAVING count(DISTINCT id) <= 0.95 * (SELECT n FROM n))
+    SELECT (SELECT CAST(count(*) AS BIGINT) FROM v) AS feature_columns, CAST(count(*) AS BIGINT) AS n, CAST(count(quality) AS BIGINT) AS labelled,
+    true AS beats_majority, true AS converged FROM tickets""",
+)
+def q_fit_exact_checks(spark, d):
+    """A linear SVM over the exact vocabulary of its training rows: its columns, and that every ticket is scored."""
+    rows = _ml_tickets(spark, d)
+    model = ml.fit_exact(rows, "quality")
+    scored = st.relational_scorer(model.table, model.intercepts, model.labels)(rows).join(rows.select("id", "quality"), "id")
+    right = F.count_if(F.col("quality") == F.col("label"))
+    largest = F.greatest(*[F.count_if(F.col("quality") == x) for x in model.labels])
+    checks = scored.agg(F.count(F.lit(1)).alias("n"), F.count("quality").alias("labelled"), (right > largest).alias("beats_majority"))
+    return checks.select(F.lit(model.feature_columns).cast("long").alias("feature_columns"), "*", F.lit(model.converged).alias("converged"))
+
+
+CV_STORE = "cv-runs"
+
+
+def _cv_run(spark, d, algorithm):
+    """(store, run_id) of the cross-validated language model, which records itself once a session."""
+    key = (spark.sparkContext.applicationId, d, CV_STORE)
     if key not in V._SHARED:
+        V._SHARED[key] = scratch_path(spark, CV_STORE)
+    store, run_id = V._SHARED[key], f"lang-{algorithm}"
+    if key + (algorithm,) not in V._SHARED:
         folds = V.doc_folds(spark, d).withColumn("lang", F.col("language"))
         prepared = pr.with_grams(pr.prepare_tickets(folds, partition_by="id"))
-        out, labels = ml.cross_validate(prepared, target, algorithm)
-        V._SHARED[key] = out.persist(StorageLevel.MEMORY_AND_DISK)
-        V._SHARED[key + ("labels",)] = labels
-    return V._SHARED[key], V._SHARED[key + ("labels",)]
+        V._SHARED[key + (algorithm,)] = ml.record_cross_validation(spark, store, run_id, prepared, "lang", algorithm)
+    return store, run_id, V._SHARED[key + (algorithm,)]
+
+
+def _cv(spark, d, algorithm="logreg"):
+    store, run_id, labels = _cv_run(spark, d, algorithm)
+    out = rn.read_run_table(spark, store, "outcomes").where(F.col("run_id") == run_id)
+    return out.select("fold", "id", "language", "y", "yhat"), labels
 
 
 @register("cv_predictions")
@@ -944,29 +1093,59 @@ def q_cv_predictions_svc(spark, d):
     return out
 
 
-@register(
-    "cv_fold_checks",
-    lambda: f"""WITH {S.TICKETS}, doc_folds AS {S.folds_sql('tickets', 'id', V.DOC_STRATA)}
+def _fold_checks_sql() -> str:
+    return f"""WITH {S.TICKETS}, doc_folds AS {S.folds_sql('tickets', 'id', V.DOC_STRATA)}
     SELECT fold, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT id) AS BIGINT) AS ids, CAST(sum(id) AS BIGINT) AS id_sum,
-           true AS beats_majority FROM doc_folds WHERE language IS NOT NULL GROUP BY fold""",
-)
-def q_cv_fold_checks(spark, d):
-    """Fold membership of the out-of-fold predictions, and that each fold gets
-    more rows right than its largest class has."""
-    out, labels = _cv(spark, d)
+           true AS beats_majority, true AS converged FROM doc_folds WHERE language IS NOT NULL GROUP BY fold"""
+
+
+def _fold_checks(spark, d, algorithm):
+    """Fold membership of the out-of-fold predictions, that each fold gets more
+    rows right than its largest class has, and that its fit met its tolerance."""
+    store, run_id, labels = _cv_run(spark, d, algorithm)
+    out, _ = _cv(spark, d, algorithm)
     largest = F.greatest(*[F.count_if(F.col("y") == i) for i in range(len(labels))])
-    return out.groupBy("fold").agg(
+    checks = out.groupBy("fold").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids"), F.sum("id").alias("id_sum"),
         (F.count_if(F.col("y") == F.col("yhat")) > largest).alias("beats_majority"),
     )
+    fits = rn.read_run_table(spark, store, "fits").where(F.col("run_id") == run_id).select("fold", "converged")
+    return checks.join(fits, "fold")
+
+
+@register("cv_fold_checks", _fold_checks_sql)
+def q_cv_fold_checks(spark, d):
+    return _fold_checks(spark, d, "logreg")
+
+
+@register("cv_svc_fold_checks", _fold_checks_sql)
+def q_cv_svc_fold_checks(spark, d):
+    return _fold_checks(spark, d, "linear_svc")
+
+
+@register(
+    "cv_run_checks",
+    lambda: """SELECT run_id, 'lang' AS task, CAST((SELECT count(*) FROM documents WHERE lang IS NOT NULL) AS BIGINT) AS outcomes,
+    CAST(5 AS BIGINT) AS fits, CAST(4 + 6 * n_lang + 16 * n_lang AS BIGINT) AS metric_keys, true AS ranked
+    FROM (VALUES ('lang-linear_svc'), ('lang-logreg')) r(run_id), (SELECT count(DISTINCT lang) AS n_lang FROM documents)""",
+)
+def q_cv_run_checks(spark, d):
+    """The two cross-validations as they recorded themselves: tables of each run and its place in the leaderboard."""
+    for algorithm in ("linear_svc", "logreg"):
+        store, _, _ = _cv_run(spark, d, algorithm)
+    counts = [
+        rn.read_run_table(spark, store, name).groupBy("run_id", "task").agg(F.count(F.lit(1)).alias(alias))
+        for name, alias in (("outcomes", "outcomes"), ("fits", "fits"), ("run_metrics", "metric_keys"))
+    ]
+    board = _stored_board(spark, store).select("run_id", (F.col("rank") >= 1).alias("ranked"))
+    return counts[0].join(counts[1], ["run_id", "task"]).join(counts[2], ["run_id", "task"]).join(board, "run_id")
 
 
 @register("cv_model_metrics")
 def q_cv_model_metrics(spark, d):
     """All CV metric keys of the fitted language model (metrics over cv_predictions)."""
-    out, labels = _cv(spark, d)
-    cube = ev.outcome_cube(out.persist(StorageLevel.MEMORY_AND_DISK))
-    return ev.metrics_long(cube, list(enumerate(labels)))
+    store, run_id, _ = _cv_run(spark, d, "logreg")
+    return rn.read_run_table(spark, store, "run_metrics").where(F.col("run_id") == run_id).select("key", "value")
 
 
 @register("triage_batch")
@@ -1017,16 +1196,6 @@ def q_model_roundtrip(spark, d):
 # ------------------------------------------------------------ streaming (X1)
 
 
-def _relational_scorer(model, intercepts, labels):
-    def score(batch: DataFrame) -> DataFrame:
-        prep = pr.with_grams(pr.prepare_tickets(batch, partition_by="id"))
-        wide = sc.linear_scores_wide(fe.term_frequency(prep), model, batch.select("id"), intercepts)
-        t = sc.top2(F.col("scores"), labels)
-        return wide.select("id", t["label"].alias("label"), t["runner_up_label"].alias("runner_up_label"), t["margin_gap"].alias("margin_gap"))
-
-    return score
-
-
 def _streaming_sql() -> str:
     return f"""{_top2_sql()}
 WHERE b.id IN (SELECT id FROM tickets WHERE length(subject) >= 1 AND length(body) >= 1)"""
@@ -1039,7 +1208,7 @@ def _replay(spark, d):
     # micro-batch shuffles only its own rows to meet it.
     model = _scoring_model(idf).repartition("term").persist(StorageLevel.MEMORY_AND_DISK)
     source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "requests"))
-    scorer = _relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
+    scorer = st.relational_scorer(model, sc.hashed_intercepts(len(SCORE_LABELS)), SCORE_LABELS)
     try:
         return st.run_triage_stream(spark, source, scorer)
     finally:
@@ -1167,3 +1336,65 @@ def q_streaming_model_triage(spark, d):
     source = st.write_request_files(V.tickets(spark, d, False), scratch_path(spark, "model-requests"))
     accepted, _ = st.run_triage_stream(spark, source, score)
     return spark.read.parquet(accepted).drop("epoch")
+
+
+# Intercept lead of the two promoted scorers, each for a class of its own.
+PROMOTED_LEADS = ((0, 5.0), (2, 5.0))
+
+
+def _led_intercepts(version: int) -> list[float]:
+    at, lead = PROMOTED_LEADS[version]
+    return [b + (lead if c == at else 0.0) for c, b in enumerate(sc.hashed_intercepts(len(SCORE_LABELS)))]
+
+
+def _promoted_stream_sql() -> str:
+    at = [f"CASE WHEN id % 2 = 0 THEN {list_[0]} ELSE {list_[1]} END" for list_ in zip(_led_intercepts(0), _led_intercepts(1))]
+    shift = " ".join(f"WHEN {c} THEN {e} - ({b})" for c, (e, b) in enumerate(zip(at, sc.hashed_intercepts(len(SCORE_LABELS)))))
+    names = S.str_list(SCORE_LABELS)
+    return f"""WITH {_scores_sql()},
+led AS (SELECT id, class_id, score + CASE class_id {shift} END AS score FROM scores),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, class_id DESC) AS r FROM led)
+SELECT id, CAST(id % 2 AS BIGINT) AS epoch, list_extract({names}, class_id + 1) AS label FROM ranked
+WHERE r = 1 AND id IN (SELECT id FROM tickets WHERE length(subject) >= 1 AND length(body) >= 1)"""
+
+
+@register("streaming_promotion", _promoted_stream_sql)
+def q_streaming_promotion(spark, d):
+    """A stream of two epochs, even ids and then odd ones; a second scorer is promoted when the first
+    epoch is done, and the second epoch is scored with it."""
+    _, idf = _idf(spark, d)
+    model = _scoring_model(idf).repartition("term").persist(StorageLevel.MEMORY_AND_DISK)
+    store, source = scratch_path(spark, "serving"), scratch_path(spark, "requests")
+
+    def promote(version: int) -> None:
+        rows = [("triage", f"lead-{version}", _led_intercepts(version))]
+        rn.promote(spark, store, spark.createDataFrame(rows, "task string, run_id string, intercepts array<double>"))
+
+    def load(promoted: DataFrame):
+        return st.relational_scorer(model, promoted.first()["intercepts"], SCORE_LABELS)
+
+    follow = st.promoted_scorer(spark, store, load)
+    requests = V.tickets(spark, d, False)
+    try:
+        promote(0)
+        sinks = scratch_path(spark, "promotion-sink"), scratch_path(spark, "promotion-checkpoint")
+        for epoch in (0, 1):  # the stream goes on from its checkpoint
+            st.write_request_files(requests.where(F.col("id") % 2 == epoch), f"{source}/part={epoch}", 1)
+            accepted, _ = st.run_triage_stream(spark, f"{source}/part=*", follow, *sinks)
+            promote(1)
+        return spark.read.parquet(accepted).select("id", F.col("epoch").cast("long").alias("epoch"), "label")
+    finally:
+        model.unpersist()
+
+
+@register(
+    "streaming_counts",
+    lambda: f"""WITH {S.TICKETS} SELECT CAST(0 AS BIGINT) AS epoch, CAST(count(*) AS BIGINT) AS requests,
+    CAST(count(*) FILTER (length(subject) >= 1 AND length(body) >= 1) AS BIGINT) AS accepted,
+    CAST(count(*) - count(*) FILTER (length(subject) >= 1 AND length(body) >= 1) AS BIGINT) AS rejected FROM tickets""",
+)
+def q_streaming_counts(spark, d):
+    """Requests, accepted and rejected rows of every epoch, observed while the epoch was scored."""
+    accepted, _ = _replay(spark, d)
+    counts = spark.read.parquet(accepted.replace("/accepted", "/counts"))
+    return counts.select(F.col("epoch").cast("long").alias("epoch"), "requests", "accepted", "rejected")

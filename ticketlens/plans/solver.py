@@ -10,14 +10,22 @@ limit tried. Here the objective is minimised unscaled,
 
 with the softmax or logistic loss (intercepts free) or the squared hinge
 (intercepts penalised, one column for each one-vs-rest problem, all columns in
-one pass). An evaluation is one Spark job: each task adds up the gradient of
-its rows in numpy, blocks of the gradient are summed on several reducers. The driver holds vectors of columns x (features + 1), which
-are parameters of the model, not of the data.
+one pass). Several models may be fitted over the same rows, as the folds of a
+cross-validation are: each has its own scale of the features (its training
+side's IDF), leaves out the rows of its own fold, and advances by itself, while
+one Spark job evaluates all of them.
+
+An evaluation runs on as many tasks as the cluster has cores, however many
+partitions the rows have. A task adds up the gradients of its rows in numpy and
+hands over the columns it has touched; blocks of columns are summed on several
+reducers. The driver holds vectors of models x columns x (features + 1), which
+are parameters of the models, not of the data.
 """
 
 from __future__ import annotations
 
 from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 12  # gradient entries that travel together
-BLOCK_SCHEMA = "block int, g binary"
+BLOCK = 1 << 12  # features whose gradient entries travel together
+BLOCK_SCHEMA = "block int, at binary, g binary"
 MEMORY = 10  # pairs that L-BFGS keeps
+_NO_FOLD = -1
 
 
 @dataclass(frozen=True)
@@ -42,15 +51,16 @@ class Loss:
     off: tuple[float, ...]
     reg: tuple[float, ...]
 
-    def at(self, margins: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-        """Weighted loss and its derivative by the margins, rows x columns."""
+    def at(self, margins: np.ndarray, y: np.ndarray, counted: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+        """Weighted loss and its derivative by the margins, rows x columns; ``counted``: the rows that count."""
         mine = y[:, None] == np.asarray(self.positive)[None, :]
+        part = np.ones(len(y)) if counted is None else counted.astype(float)
         if self.kind == "softmax":
-            weight = (mine * np.asarray(self.on)).sum(axis=1)
+            weight = (mine * np.asarray(self.on)).sum(axis=1) * part
             shifted = margins - margins.max(axis=1, keepdims=True)
             log_p = shifted - np.log(np.exp(shifted).sum(axis=1, keepdims=True))
             return float(-(weight * (mine * log_p).sum(axis=1)).sum()), weight[:, None] * (np.exp(log_p) - mine)
-        weight = np.where(mine, np.asarray(self.on), np.asarray(self.off))
+        weight = np.where(mine, np.asarray(self.on), np.asarray(self.off)) * part[:, None]
         sign = np.where(mine, 1.0, -1.0)
         if self.kind == "logistic":
             z = -sign * margins
@@ -59,110 +69,215 @@ class Loss:
         return float((weight * short**2).sum()), -2.0 * weight * sign * short
 
 
-def sparse_rows(vectors: DataFrame, features: str = "features", label: str = "label_id") -> DataFrame:
-    """(y, idx, val) of the vectors, dense ones included."""
+@dataclass(frozen=True)
+class Problem:
+    """One model: its loss, the fold it leaves out and the scale of its features (None: as they are).
+
+    Scaled rows are brought to length 1 again, as TF-IDF rows are.
+    """
+
+    loss: Loss
+    without: int | None = None
+    scale: np.ndarray | None = None
+
+
+def sparse_rows(vectors: DataFrame, features: str = "features", label: str = "label_id", fold: str | None = None) -> DataFrame:
+    """(fold, y, idx, val) of the vectors, dense ones included."""
     v = F.unwrap_udt(features)
     idx = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
-    return vectors.select(F.col(label).cast("int").alias("y"), idx.alias("idx"), v["values"].alias("val"))
+    of = F.lit(_NO_FOLD) if fold is None else F.col(fold).cast("int")
+    return vectors.select(of.alias("fold"), F.col(label).cast("int").alias("y"), idx.alias("idx"), v["values"].alias("val"))
 
 
-def _gradient(rows: DataFrame, loss: Loss, coefs: np.ndarray) -> tuple[float, np.ndarray]:
-    """Loss and gradient over all rows, without the penalty."""
-    n_columns, width = coefs.shape
-    shared = rows.sparkSession.sparkContext.broadcast(coefs)
+class _Partial:
+    """One task's part of the gradients: rows of ``grads`` are the models' columns one after the other."""
 
-    def task(batches):
-        w, total, grad = shared.value, 0.0, np.zeros((n_columns, width))
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            lists = batch.column("idx")
-            idx, val = lists.flatten().to_numpy(zero_copy_only=False), batch.column("val").flatten().to_numpy(zero_copy_only=False)
-            of = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
-            margins = np.stack([np.bincount(of, weights=val * w[c, idx], minlength=n) + w[c, -1] for c in range(n_columns)], axis=1)
-            value, slope = loss.at(margins, batch.column("y").to_numpy(zero_copy_only=False))
-            total += value
-            for c in range(n_columns):
-                grad[c, :-1] += np.bincount(idx, weights=val * slope[of, c], minlength=width - 1)
-                grad[c, -1] += slope[:, c].sum()
-        flat = np.append(grad.ravel(), total)
-        yield _blocks((s, flat[s : s + BLOCK]) for s in range(0, len(flat), BLOCK))
-
-    parts = rows.mapInArrow(task, BLOCK_SCHEMA).repartition("block")
-    summed = parts.mapInArrow(_add_blocks, BLOCK_SCHEMA).collect()  # the model's size
-    shared.destroy()
-    flat = np.zeros(n_columns * width + 1)
-    for r in summed:
-        flat[r.block : r.block + BLOCK] = np.frombuffer(r.g)
-    return float(flat[-1]), flat[:-1].reshape(n_columns, width)
+    def __init__(self, problems: list[Problem], coefs: list[np.ndarray]) -> None:
+        self.problems, self.coefs = problems, coefs
+        self.first = np.cumsum([0] + [len(c) for c in coefs])
+        self.values = np.zeros(len(problems))
+        self.width = coefs[0].shape[1]
+        self.grads = np.zeros((self.first[-1], self.width))
+        self.touched = np.zeros(self.width, bool)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        lists = batch.column("idx")
+        idx, val = lists.flatten().to_numpy(zero_copy_only=False), batch.column("val").flatten().to_numpy(zero_copy_only=False)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        fold, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fold", "y"))
+        of = np.repeat(np.arange(len(y)), sizes)
+        self.touched[idx], self.touched[-1] = True, True
+        for m, p in enumerate(self.problems):
+            mine = slice(None) if p.without is None else np.flatnonzero(fold[of] != p.without)
+            i, o, v = idx[mine], of[mine], val[mine]
+            if p.scale is not None:
+                v = v * p.scale[i]
+                norm = np.sqrt(np.bincount(o, weights=v * v, minlength=len(y)))
+                v = v / np.where(norm > 0, norm, 1.0)[o]
+            w = self.coefs[m]
+            margins = np.stack([np.bincount(o, weights=v * w[c, i], minlength=len(y)) + w[c, -1] for c in range(len(w))], axis=1)
+            value, slope = p.loss.at(margins, y, fold != p.without if p.without is not None else None)
+            self.values[m] += value
+            for c in range(len(w)):
+                row = self.grads[self.first[m] + c]
+                row[:-1] += np.bincount(i, weights=v * slope[o, c], minlength=self.width - 1)
+                row[-1] += slope[:, c].sum()
+
+    def blocks(self):
+        """(block, positions, entries of all models at them); block -1 has the losses."""
+        yield -1, b"", self.values.tobytes()
+        for start in range(0, self.width, BLOCK):
+            at = np.flatnonzero(self.touched[start : start + BLOCK])
+            if len(at):
+                entries = np.ascontiguousarray(self.grads[:, start + at], np.float32)
+                yield start // BLOCK, at.astype(np.uint16).tobytes(), entries.tobytes()
 
 
-def _blocks(pairs) -> pa.RecordBatch:
-    held = [(s, np.ascontiguousarray(g).tobytes()) for s, g in pairs if g.any()]
-    return pa.RecordBatch.from_pydict({"block": pa.array([s for s, _ in held], pa.int32()), "g": pa.array([g for _, g in held], pa.binary())})
+def _rows(triples) -> pa.RecordBatch:
+    blocks, at, g = zip(*triples, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(at, pa.binary()), pa.array(g, pa.binary())], names=["block", "at", "g"])
 
 
 def _add_blocks(batches):
     """Sums of the blocks of one reducer; a block's parts stream by."""
-    sums = {}
+    sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for block, g in zip(batch.column("block").to_pylist(), batch.column("g")):
-            part = np.frombuffer(g.as_buffer())
-            if block in sums:
-                sums[block] += part
-            else:
-                sums[block] = part.copy()
-    yield _blocks(sums.items())
-
-
-def minimise(at, start: np.ndarray, tol: float, max_iter: int) -> tuple[np.ndarray, int, bool]:
-    """L-BFGS with backtracking. Stops when no gradient entry is above ``tol``,
-    the rule of the reference's logistic solver, whose objective is a mean as
-    this one is; returns (point, iterations, converged)."""
+        for block, at, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if block < 0:
+                sums[block] = sums.get(block, 0.0) + np.frombuffer(g)
+                continue
+            where = np.frombuffer(at, np.uint16)
+            part = np.frombuffer(g, np.float32).reshape(-1, len(where))
+            if block not in sums:
+                sums[block] = np.zeros((len(part), BLOCK))
+            sums[block][:, where] += part
+    if sums:
+        yield _rows((b, b"", v.tobytes()) for b, v in sums.items())
+
+
+def evaluate(rows: DataFrame, shared_problems, asked: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
+    """Loss and gradient, without the penalty, of the asked models at their coefficients: one Spark job."""
+    spark = rows.sparkSession
+    names = sorted(asked)
+    points = spark.sparkContext.broadcast([asked[m] for m in names])
+
+    def task(batches):
+        part = _Partial([shared_problems.value[m] for m in names], points.value)
+        for batch in batches:
+            if batch.num_rows:
+                part.add(batch)
+        yield _rows(part.blocks())
+
+    parts = rows.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(task, BLOCK_SCHEMA)
+    summed = parts.repartition("block").mapInArrow(_add_blocks, BLOCK_SCHEMA).toArrow()  # the models' size
+    points.destroy()
+    first = np.cumsum([0] + [len(asked[m]) for m in names])
+    width = asked[names[0]].shape[1]
+    grads, values = np.zeros((first[-1], width)), np.zeros(len(names))
+    for block, g in zip(summed["block"].to_pylist(), summed["g"].to_pylist(), strict=True):
+        if block < 0:
+            values = np.frombuffer(g)
+        else:
+            start = block * BLOCK
+            grads[:, start : start + BLOCK] = np.frombuffer(g).reshape(first[-1], BLOCK)[:, : width - start]
+    return {m: (float(values[k]), grads[first[k] : first[k + 1]]) for k, m in enumerate(names)}
+
+
+def lbfgs(start: np.ndarray, tol: float, max_iter: int, relative: bool = False):
+    """L-BFGS with backtracking as a generator: it yields a point, is sent (value, gradient)
+    there, and returns (point, iterations, converged).
+
+    It stops when no gradient entry is above ``tol``, of the first gradient's largest
+    entry if ``relative``. The absolute rule is that of the reference's logistic
+    solver, whose objective is a mean as this one is; the entries of a squared hinge
+    with a weak penalty shrink with the rows, so its rule is relative.
+    """
     x = start
-    value, grad = at(x)
-    pairs = deque(maxlen=MEMORY)
+    value, grad = yield x
+    limit = tol * float(np.abs(grad).max()) if relative else tol
+    pairs, part = deque(maxlen=MEMORY), np.empty_like(x)  # one buffer for all products: the vectors are long
     for used in range(max_iter):
-        if np.abs(grad).max() <= tol:
+        if np.abs(grad, out=part).max() <= limit:
             return x, used, True
         step, alphas = -grad, []
         for s, y, rho in reversed(pairs):
             alphas.append(rho * np.vdot(s, step))
-            step = step - alphas[-1] * y
+            step -= np.multiply(y, alphas[-1], out=part)
         if pairs:
             s, y, rho = pairs[-1]
-            step = step / (rho * np.vdot(y, y))
+            step /= rho * np.vdot(y, y)
         else:
-            step = step / np.linalg.norm(grad)
+            step /= np.linalg.norm(grad)
         for (s, y, rho), alpha in zip(pairs, reversed(alphas)):
-            step = step + (alpha - rho * np.vdot(y, step)) * s
+            step += np.multiply(s, alpha - rho * np.vdot(y, step), out=part)
         slope, length = np.vdot(grad, step), 1.0
         while True:
-            new_value, new_grad = at(x + length * step)
+            new_value, new_grad = yield x + length * step
             if new_value <= value + 1e-4 * length * slope:
                 break
             length /= 2
             if length < 1e-10:  # no descent left at this precision
                 return x, used, False
-        s, y = length * step, new_grad - grad
-        if np.vdot(s, y) > 0:
-            pairs.append((s, y, 1.0 / np.vdot(s, y)))
-        x, value, grad = x + s, new_value, new_grad
-    return x, max_iter, bool(np.abs(grad).max() <= tol)
+        if length < 1.0:
+            step *= length
+        y = new_grad - grad
+        curvature = np.vdot(step, y)
+        if curvature > 0:
+            pairs.append((step, y, 1.0 / curvature))
+        x, value, grad = x + step, new_value, new_grad
+    return x, max_iter, bool(np.abs(grad).max() <= limit)
 
 
-def fit(vectors: DataFrame, loss: Loss, n_features: int, tol: float, max_iter: int) -> tuple[np.ndarray, int, bool]:
-    """(coefficients with the intercept last, one row a column; iterations; converged)."""
-    rows, reg = sparse_rows(vectors).persist(), np.asarray(loss.reg)[:, None]
-    penalised = np.ones(n_features + 1)
-    penalised[-1] = 1.0 if loss.kind == "squared_hinge" else 0.0
+def _penalised(loss: Loss, w: np.ndarray, value: float, grad: np.ndarray) -> tuple[float, np.ndarray]:
+    """Value and gradient with the penalty; only the squared hinge penalises the intercepts."""
+    reg, free = np.asarray(loss.reg), loss.kind != "squared_hinge"
+    square = np.array([np.vdot(row, row) for row in w]) - (w[:, -1] ** 2 if free else 0.0)
+    out = np.multiply(w, reg[:, None])
+    if free:
+        out[:, -1] = 0.0
+    out += grad
+    return value + 0.5 * float((reg * square).sum()), out
 
-    def at(w):
-        value, grad = _gradient(rows, loss, w)
-        return value + 0.5 * float((reg * penalised * w * w).sum()), grad + reg * penalised * w
 
+def _advance(running, loss: Loss, w: np.ndarray, answer: tuple[float, np.ndarray]):
+    """The next point a model asks for, or what it has found."""
+    try:
+        return running.send(_penalised(loss, w, *answer)), None
+    except StopIteration as done:
+        return None, done.value
+
+
+def fit_all(rows: DataFrame, problems: list[Problem], n_features: int, tol: float, max_iter: int) -> list[tuple[np.ndarray, int, bool]]:
+    """(coefficients with the intercept last, one row a column; iterations; converged) of every model.
+
+    ``rows`` as of ``sparse_rows``, persisted by the caller. Every round evaluates
+    the points that the unfinished models ask for; the models' own steps are
+    vector arithmetic on the driver, a thread for each.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(problems)
+    running, asked, found = {}, {}, {}
+    for m, p in enumerate(problems):
+        running[m] = lbfgs(np.zeros((len(p.loss.positive), n_features + 1)), tol, max_iter, p.loss.kind == "squared_hinge")
+        asked[m] = next(running[m])
+    with ThreadPoolExecutor(max_workers=len(problems)) as pool:
+        while asked:
+            answers = evaluate(rows, shared, asked)
+            steps = {m: pool.submit(_advance, running[m], problems[m].loss, asked[m], answers[m]) for m in asked}
+            for m, step in steps.items():
+                point, done = step.result()
+                if point is None:
+                    found[m] = done
+                    del asked[m]
+                else:
+                    asked[m] = point
+    shared.destroy()
+    return [found[m] for m in range(len(problems))]
+
+
+def fit(vectors: DataFrame, loss: Loss, n_features: int, tol: float, max_iter: int) -> tuple[np.ndarray, int, bool]:
+    """One model over (features, label_id) rows."""
+    rows = sparse_rows(vectors).persist()
     try:
-        return minimise(at, np.zeros((len(loss.positive), n_features + 1)), tol, max_iter)
+        return fit_all(rows, [Problem(loss)], n_features, tol, max_iter)[0]
     finally:
         rows.unpersist()

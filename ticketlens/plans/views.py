@@ -67,8 +67,8 @@ def reset_shared() -> None:
 
 
 def doc_folds(spark: SparkSession, d: str) -> DataFrame:
-    """Tickets with folds stratified on (quality, toxic); missing targets form strata."""
-    return fo.stratified_folds(tickets(spark, d, True), "id", DOC_STRATA, N_FOLDS, SEED)
+    """Tickets with folds stratified on (quality, toxic); missing targets form strata, and small ones are dealt too."""
+    return fo.stratified_folds(tickets(spark, d, True), "id", DOC_STRATA, N_FOLDS, SEED, small="keep")
 
 
 def order_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -33,6 +33,23 @@ def read_tickets_csv(spark: SparkSession, path: str, schema: T.StructType = TICK
     )
 
 
+def read_tickets(spark: SparkSession, path: str, schema: T.StructType = TICKET_SCHEMA) -> DataFrame:
+    """Parquet tickets, whose files need not have the same columns.
+
+    The given schema decides: a column that a file lacks is null for its rows, one
+    that the schema lacks is not read. A folder in which no file has the body is an
+    error at plan time; a file without it beside others fails the query.
+    """
+    held = spark.read.option("mergeSchema", True).parquet(path)
+    require_columns(held, ("body",))
+    rows = spark.read.schema(schema).parquet(path)
+    file = F.col("_metadata.file_path")
+    without = rows.groupBy(file.alias("file")).agg(F.count("body").alias("n"), F.count(F.lit(1)).alias("rows")).where("n = 0 and rows > 0")
+    names = without.orderBy("file").limit(20).agg(F.array_join(F.array_sort(F.collect_list("file")), ", ")).scalar()
+    body = F.when(names != "", F.raise_error(F.concat(F.lit("files without a body: "), names)).cast("string")).otherwise(F.col("body"))
+    return rows.withColumn("body", body)
+
+
 def write_tickets_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
@@ -41,7 +58,7 @@ def require_columns(df: DataFrame, required=("body",), what: str = "text column"
     """Plan-time check: a missing required column is a KeyError naming it."""
     missing = [name for name in required if name not in df.columns]
     if missing:
-        raise KeyError(f"Missing {what}: {', '.join(missing)}")
+        raise KeyError(f"no {what} named {', '.join(missing)}")
 
 
 def with_optional_columns(df: DataFrame, subject: str = "subject", language: str = "language") -> DataFrame:
