@@ -30,6 +30,23 @@ def test_top_k(spark, index_block, query_block):
     assert bitsliced_topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_keeps_large_components(spark):
+    """Every finite vector takes part; only what no long can hold is an error."""
+    big = [(0, [40000.0, 1.0]), (1, [1.0, -40000.0]), (2, [1e8, 2.0]), (3, [-3e4, 1e3]), (4, [0.0, 1e8]), (5, [math.inf, 1.0]), (7, [math.nan, 1.0]), (14, [1.0, None])]
+    df = spark.createDataFrame([(i, v, "c", 1) for i, v in big], "vec_id long, embedding array<double>, x string, block int")
+    got = sorted(tuple(r) for r in bitsliced_topk.top_k(df, df.where("vec_id in (0, 1, 7, 14)")).collect())
+    vectors = {i: [math.floor(1024 * x) for x in v] for i, v in big[:5]}
+    want = []
+    for q in (0, 1):
+        best = sorted((-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    for wrong in ([(0, [1e30]), (1, [1.0])], [(0, [1e14]), (1, [1e14])]):
+        with pytest.raises(Exception, match="too large for 64 bits|int too|OverflowError"):
+            rows = spark.createDataFrame(wrong, "vec_id long, embedding array<double>")
+            bitsliced_topk.top_k(rows, rows).collect()
+
+
 def test_shards(make, words):
     docs = [(i, words(5)) for i in range(600)] + [(600, None), (601, ""), (7, "again"), (7, "again"), (None, "x"), (None, None)]
     got = rendezvous.assign_shards(make(docs)).collect()

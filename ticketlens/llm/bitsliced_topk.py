@@ -29,8 +29,8 @@ K = 10
 #: Vectors in a block of the index and queries in a block of queries, about.
 INDEX_BLOCK = 16384
 QUERY_BLOCK = 8192
-#: Quantised components up to this size; sums of 2**11 products stay exact in 64 bits.
-LIMIT = 1 << 25
+#: Quantised components are below this in size, so differences of two fit 64 bits.
+LIMIT = 1 << 62
 
 _SCORED = "query_id long, vec_id long, score long"
 
@@ -38,19 +38,23 @@ _SCORED = "query_id long, vec_id long, score long"
 def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, x: floor(SCALE * component) of the vectors that take part.
 
-    Null ids, null vectors and vectors with a null, non-finite or (as a
-    quantised number) over-large component do not.
+    Null ids, null vectors and vectors with a null or non-finite component do
+    not.  A finite component whose quantised value is LIMIT or more fails the query.
     """
-    x = F.transform(F.col(vector_col), lambda c: F.floor(c.cast("double") * SCALE).cast("int"))
-    # a comparison with a null or NaN component is not true
-    fine = F.forall(vector_col, lambda c: F.coalesce(F.abs(c.cast("double")) * SCALE < LIMIT, F.lit(False)))
-    return df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine).select(F.col(id_col).cast("long").alias("vec_id"), x.alias("x"))
+    scaled = lambda c: c.cast("double") * SCALE
+    too_large = F.raise_error(F.lit("a vector's component is too large for 64 bits")).cast("bigint")
+    x = F.transform(F.col(vector_col), lambda c: F.when(F.abs(scaled(c)) < F.lit(float(LIMIT)), F.floor(scaled(c))).otherwise(too_large))
+    # a comparison with a null component is not true, nor is one of NaN, the largest number, or infinity
+    fine = F.forall(vector_col, lambda c: F.coalesce(F.abs(c.cast("double")) < F.lit(float("inf")), F.lit(False)))
+    kept = F.when(fine, x)
+    rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), kept.alias("x"))
+    return rows.where(F.col("x").isNotNull())
 
 
 def slices(x: np.ndarray) -> tuple[np.ndarray, int]:
     """Bitmaps (component, bit, words) of the rows' components less the offset, and that offset."""
     low = int(x.min(initial=0))
-    up = (x - low).astype(np.uint64)
+    up = (x - np.int64(low)).astype(np.uint64)
     n_bits = max(1, int(up.max(initial=0)).bit_length())
     rows = np.zeros((x.shape[1], n_bits, -(-len(x) // 64) * 64), np.uint8)
     for b in range(n_bits):
@@ -127,10 +131,12 @@ def top_rows(total: np.ndarray, alive: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([_bits(sure), _bits(border)[: k - n_sure]])
 
 
-def _values(total: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The sums of some rows, read from the slices."""
+def _values(total: np.ndarray, rows: np.ndarray) -> list[int]:
+    """The sums of some rows, read from the slices, however many bits they have."""
     bits = (total[:, rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)
-    return (bits << np.arange(len(total), dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64).astype(np.int64)
+    if len(total) < 63:
+        return (bits << np.arange(len(total), dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64).tolist()
+    return [sum(1 << b for b in np.flatnonzero(column).tolist()) for column in bits.T]
 
 
 def search(ids: np.ndarray, bitmaps: np.ndarray, low: int, queries: np.ndarray, query_ids: np.ndarray, k: int) -> Iterator[tuple]:
@@ -153,7 +159,10 @@ def search(ids: np.ndarray, bitmaps: np.ndarray, low: int, queries: np.ndarray,
         np.bitwise_and.at(alive, own // 64, ~(np.uint64(1) << (own % 64).astype(np.uint64)))
         rows = top_rows(_less(plus, minus), alive, k)
         if len(rows):
-            yield query_id, ids[rows], _values(plus, rows) - _values(minus, rows) + low * int(q.sum())
+            offset = low * sum(q.tolist())
+            # a score beyond 64 bits is an OverflowError
+            scores = np.array([p - m + offset for p, m in zip(_values(plus, rows), _values(minus, rows), strict=True)], np.int64)
+            yield query_id, ids[rows], scores
 
 
 def _less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -228,8 +237,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec
     A row is no candidate of its own id; a query meets the vectors that have
     as many components as it has; a query row that repeats is one query, a
     vector row that repeats may be listed for each copy.  Fewer than k
-    candidates: all of them.  Vectors with null or non-finite components (and
-    components beyond LIMIT / SCALE) take no part on either side.
+    candidates: all of them.  Vectors with null or non-finite components take no
+    part on either side; all others do, whatever the size of their components.
+    A component or a listed score that does not fit 64 bits fails the query.
     """
     index = written(_blocks(quantised(vectors, id_col, vector_col), index_block).mapInArrow(_indexer, _INDEX), "index")
     asked = _blocks(quantised(queries, id_col, vector_col).dropDuplicates(["vec_id"]), query_block)
