@@ -65,6 +65,18 @@ def test_shards(make, words):
     assert rendezvous.assign_shards(make([])).count() == 0
 
 
+def test_slots_do_not_depend_on_the_partitions(spark, make, words):
+    docs = make([(i, words(3)) for i in range(300)] + [(None, None), (7, "x"), (8, "long " * 200_000)])
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "5", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted(map(repr, rendezvous.assign_shards(docs).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+
+
 def test_shards_follow_their_weights(make):
     got = rendezvous.assign_shards(make([(i, "t") for i in range(3000)]), weights=[3.0, 1.0, 0.0, 2.0]).groupBy("shard").count().collect()
     n = {r["shard"]: r["count"] for r in got}

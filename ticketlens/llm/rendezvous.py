@@ -47,8 +47,9 @@ def assign_shards(
     shard's rows from 0 without gaps, in an order that depends on the rows
     only.  A null text has no bytes (size 8, checksum 0).
 
-    Slots are numbered inside hashed sub-ranges of each shard, and the
-    sub-ranges' counts give the offsets, so no shard has to fit in a task.
+    Slots are numbered inside ranges of a hash of the row, and the ranges'
+    counts give the offsets, so no shard has to fit in a task, and the slots do
+    not depend on the number of ranges, which is that of the shuffle partitions.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.col(id_col).cast("long")
@@ -63,8 +64,10 @@ def assign_shards(
     n_sub = partitions(docs.sparkSession)
     rows = rows.select(
         "doc_id", "size", "text_crc32", F.col("best.shard").alias("shard"), "grown_shard",
-        F.xxhash64("doc_id", "text_crc32", "size").alias("place"),
-    ).withColumn("sub", F.pmod("place", F.lit(n_sub)))
+        F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size"), 1).alias("place"),
+    )
+    # ranges of equal width in the order of the places: their number does not change a slot
+    rows = rows.withColumn("sub", F.shiftright(F.shiftright("place", 32) * F.lit(n_sub).cast("long"), 31))
     rows = written(rows, "shards")
     counts = rows.groupBy("shard", "sub").count()
     before = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
