@@ -19,7 +19,9 @@ FAST = [
     "linear_scores", "top2_margin", "run_metrics", "headline_metrics", "leaderboard", "promoted_runs",
     "ticket_scan", "dataset_profile", "confusion_unpivot", "streaming_triage", "language_norm",
     "zero_support_metrics", "zero_support_language", "missing_targets", "cv_idf_by_subtraction",
-    "promotion_mismatches", "triage_requests", "fit_svc_checks", "cv_fold_checks",
+    "promotion_mismatches", "triage_requests", "fit_svc_checks", "cv_fold_checks", "aligned_outcomes",
+    "grouping_sets_null_targets", "run_tables_rewritten", "committed_leaderboard", "promoted_current",
+    "streaming_promotion", "streaming_counts", "mixed_ticket_scan", "exact_vectors",
 ]
 
 

@@ -56,11 +56,19 @@ from ..operators import scoring as sc
 from ..session import scratch_path
 from . import solver as so
 
-# Model settings per algorithm and task.
-C_BY_ALGORITHM_AND_TASK = {
-    "logreg": {"nominal": 2.0, "ordinal": 2.0},
-    "linear_svc": {"nominal": 16.0, "ordinal": 12.0},
-}
+
+@dataclass(frozen=True)
+class TargetKind:
+    """The inverse penalty C of a kind of target under either loss."""
+
+    log_loss: float
+    hinge: float
+
+    def inverse_penalty(self, algorithm: str) -> float:
+        return self.log_loss if algorithm == "logreg" else self.hinge
+
+
+KINDS = {"nominal": TargetKind(log_loss=2.0, hinge=16.0), "ordinal": TargetKind(log_loss=2.0, hinge=12.0)}
 MAX_ITER = 5000
 #: Largest gradient entry at which a fit stops: of the mean log loss as it is, of the squared hinge relative to the first gradient's.
 TOL = {"logreg": 1e-4, "linear_svc": 1e-3}
@@ -123,7 +131,7 @@ def task_loss(algorithm: str, kind: str, counts: dict[int, int], n_classes: int)
     Two classes make one column. More make one softmax, or one squared-hinge
     column a class, in which its rows weigh n / (k * n_c) and all others 1.
     """
-    n, c_value = sum(counts.values()), C_BY_ALGORITHM_AND_TASK[algorithm][kind]
+    n, c_value = sum(counts.values()), KINDS[kind].inverse_penalty(algorithm)
     present = max(1, sum(1 for v in counts.values() if v))
     held = [counts.get(c, 0) for c in range(n_classes)]
     weight = [n / (present * h) if h else 1.0 for h in held]
@@ -430,6 +438,6 @@ def record_cross_validation(spark, store: str, run_id: str, prepared_rows: DataF
         "cv_language": ev.cv_language(cube, named),
     }
     kind = "ordinal" if order is not None else "nominal"
-    params = {"algorithm": algorithm, "C": C_BY_ALGORITHM_AND_TASK[algorithm][kind], "num_features": num_features, "labels": labels}
+    params = {"algorithm": algorithm, "C": KINDS[kind].inverse_penalty(algorithm), "num_features": num_features, "labels": labels}
     rn.write_run(spark, store, run_id, target, tables, params=params, metrics={"iterations": max(used for _, used, _ in fits)})
     return labels

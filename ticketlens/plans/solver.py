@@ -152,7 +152,7 @@ def _add_blocks(batches):
                 sums[block] = np.zeros((len(part), BLOCK))
             sums[block][:, where] += part
     if sums:
-        yield _rows((b, b"", v.tobytes()) for b, v in sums.items())
+        yield _rows((b, b"", (v if b < 0 else v.astype(np.float32)).tobytes()) for b, v in sums.items())
 
 
 def evaluate(rows: DataFrame, shared_problems, asked: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray]]:
@@ -179,7 +179,7 @@ def evaluate(rows: DataFrame, shared_problems, asked: dict[int, np.ndarray]) ->
             values = np.frombuffer(g)
         else:
             start = block * BLOCK
-            grads[:, start : start + BLOCK] = np.frombuffer(g).reshape(first[-1], BLOCK)[:, : width - start]
+            grads[:, start : start + BLOCK] = np.frombuffer(g, np.float32).reshape(first[-1], BLOCK)[:, : width - start]
     return {m: (float(values[k]), grads[first[k] : first[k + 1]]) for k, m in enumerate(names)}
 
 
