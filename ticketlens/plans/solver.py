@@ -159,7 +159,7 @@ def evaluate(rows: DataFrame, shared_problems, asked: dict[int, np.ndarray]) ->
     """Loss and gradient, without the penalty, of the asked models at their coefficients: one Spark job."""
     spark = rows.sparkSession
     names = sorted(asked)
-    points = spark.sparkContext.broadcast([asked[m] for m in names])
+    points = spark.sparkContext.broadcast([asked[m].astype(np.float32) for m in names])
 
     def task(batches):
         part = _Partial([shared_problems.value[m] for m in names], points.value)
