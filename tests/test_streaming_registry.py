@@ -21,7 +21,7 @@ FAST = [
     "zero_support_metrics", "zero_support_language", "missing_targets", "cv_idf_by_subtraction",
     "promotion_mismatches", "triage_requests", "fit_svc_checks", "cv_fold_checks", "aligned_outcomes",
     "grouping_sets_null_targets", "run_tables_rewritten", "committed_leaderboard", "promoted_current",
-    "streaming_promotion", "streaming_counts", "mixed_ticket_scan", "exact_vectors",
+    "streaming_promotion", "streaming_counts", "mixed_ticket_scan", "exact_vectors", "length_vectors",
 ]
 
 

@@ -958,6 +958,25 @@ def _ml_tickets(spark, d):
     return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+@register(
+    "length_vectors",
+    lambda: f"""WITH {S.prepared_ctes()}
+    SELECT id, CAST({ml.NUM_FEATURES + 1} AS INTEGER) AS columns,
+           round(ticket_text_length / greatest((SELECT max(ticket_text_length) FROM prepared)::DOUBLE, 1.0), 6) AS length_feature FROM prepared""",
+)
+def q_length_vectors(spark, d):
+    """Text vector and scaled length put together: the number of columns and the last of them."""
+    from pyspark.ml import Pipeline
+
+    rows = V.prepared(spark, d)
+    made = Pipeline(stages=ml.feature_stages(length_feature=True)).fit(rows).transform(rows)
+    v = F.unwrap_udt("features")
+    dense = v["type"] == 1
+    columns = F.when(dense, F.size(v["values"])).otherwise(v["size"])
+    last = F.when(dense | (F.element_at(v["indices"], -1) == columns - 1), F.element_at(v["values"], -1)).otherwise(F.lit(0.0))
+    return made.select("id", columns.alias("columns"), _r(last).alias("length_feature"))
+
+
 @register("fit_logreg")
 def q_fit_logreg(spark, d):
     """Multinomial logistic regression on the language target, fitted on all rows."""
