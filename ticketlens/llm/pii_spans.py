@@ -8,6 +8,7 @@ an address is found from its ``@``, dotted and spaced digits by whole runs.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -63,14 +64,22 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def cards(text: str) -> list[Span]:
-    out = []
+def _card_forms(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether the check digit is right) of numbers of a card's length."""
     for m in _DIGITS.finditer(text):
         if m.end() - m.start() >= 12:
             digits = m.group().replace(" ", "").replace("-", "")
-            if 12 <= len(digits) <= 19 and luhn(digits):
-                out.append((m.start(), m.end(), "card"))
-    return out
+            if 12 <= len(digits) <= 19:
+                yield m.start(), m.end(), luhn(digits)
+
+
+def cards(text: str) -> list[Span]:
+    return [(a, b, "card") for a, b, right in _card_forms(text) if right]
+
+
+def failed_cards(text: str) -> list[tuple[int, int]]:
+    """Numbers of a card's length whose check digit is wrong."""
+    return [(a, b) for a, b, right in _card_forms(text) if not right]
 
 
 def phones(text: str) -> list[Span]:
