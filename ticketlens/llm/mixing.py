@@ -17,18 +17,21 @@ never a document.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import written
+from ticketlens.llm.common import partitions, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 #: Documents of a block, on average.
 BLOCK_DOCS = 256
+#: A source's blocks are ranked by 2**RANGE_BITS ranges of their order, so no task orders a whole source.
+RANGE_BITS = 12
 SHARDS = 64
 SEED = 20240607
 
@@ -81,12 +84,28 @@ def split_quotas(blocks: Sequence[int], shards: int, seed: int = SEED) -> np.nda
 
 
 def _drawn(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Good ones among n drawn (numpy's own sampler stops at 1e9; beyond it the normal limit is exact enough)."""
+    """Good ones among n drawn from good + bad: exact at any size (numpy's own sampler stops at 1e9)."""
     if good + bad < 10**9:
         return int(rng.hypergeometric(good, bad, n)) if good + bad else 0
+    return inverse_draw(rng.random(), good, bad, n)
+
+
+def inverse_draw(u: float, good: int, bad: int, n: int) -> int:
+    """The hypergeometric quantile of u, from probabilities relative to the mode's.
+
+    Neighbours' ratios are summed up as logarithms, 40 deviations to each side:
+    beyond, no double holds what is left.
+    """
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(max((n + 1) * (good + 1) // (good + bad + 2), low), high)
     p = good / (good + bad)
-    x = round(rng.normal(n * p, (n * p * (1 - p) * (good + bad - n) / (good + bad - 1)) ** 0.5))
-    return int(min(max(x, n - bad, 0), good, n))
+    reach = 40 * math.ceil(math.sqrt(n * p * (1 - p)) + 1)
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1, dtype=np.float64)
+    a = k[:-1]  # log of P(a + 1) / P(a)
+    steps = np.log(good - a) + np.log(n - a) - np.log(a + 1) - np.log(bad - n + a + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    mass = np.cumsum(np.exp(logs - logs.max()))
+    return int(k[min(np.searchsorted(mass, u * mass[-1], "right"), len(k) - 1)])
 
 
 def _place(seed: int, id_col: str, text_col: str, source_col: str) -> Column:
@@ -94,6 +113,23 @@ def _place(seed: int, id_col: str, text_col: str, source_col: str) -> Column:
     return F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(source_col))
 
 
+def _ranked(blocks: DataFrame) -> DataFrame:
+    """``rank`` (from 0) and ``upto`` (sizes so far) of the blocks of each k in the order of (at, block).
+
+    Offsets of ranges of the order come from the ranges' totals, at most
+    2**RANGE_BITS rows a source; inside, each range is a window of its own.
+    """
+    blocks = blocks.withColumn("range", F.shiftright("at", 64 - RANGE_BITS))
+    before = Window.partitionBy("k").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = blocks.groupBy("k", "range").agg(F.count("*").alias("n"), F.sum("block_size").alias("held"))
+    offsets = totals.select("k", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"), F.coalesce(F.sum("held").over(before), F.lit(0)).alias("held_before"))
+    inside = Window.partitionBy("k", "range").orderBy("at", "block")
+    rank = F.col("n_before") + F.row_number().over(inside) - 1
+    upto = F.col("held_before") + F.sum("block_size").over(inside)
+    joined = blocks.join(offsets, ["k", "range"])
+    return joined.select("k", "block", "block_size", "rest", rank.alias("rank"), upto.alias("upto"))
+
+
 def _border_picks(inside: DataFrame) -> DataFrame:
     """k, place of the documents of the border blocks that fill ``room`` best, from large to small.
 
@@ -155,8 +191,7 @@ def plan_mix(
 
     # blocks in permuted order: those inside the rest are taken whole, the next one is the border
     blocks = named.groupBy("k", "block").agg(F.sum("size").alias("block_size"), F.first("rest").alias("rest"))
-    order = Window.partitionBy("k").orderBy(F.xxhash64(F.lit(seed + 1), "k", "block"), "block")
-    blocks = blocks.withColumn("rank", F.row_number().over(order) - 1).withColumn("upto", F.sum("block_size").over(order))
+    blocks = _ranked(blocks.withColumn("at", F.xxhash64(F.lit(seed + 1), "k", "block")))
     room = F.col("rest") - (F.col("upto") - F.col("block_size"))
     blocks = blocks.select("k", "block", "rank", (F.col("upto") <= F.col("rest")).alias("whole"), ((room >= 0) & (F.col("upto") > F.col("rest"))).alias("border"), room.alias("room"))
     blocks = written(blocks, "mix-blocks")
@@ -183,13 +218,15 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, **options: obje
     """The documents as the mix holds them: same columns, a row for each take, shard by shard, shuffled inside.
 
     A shard is cut into hashed ranges of its shuffled order, so it may span
-    several partitions.
+    several partitions: at least 16, and in step with the session's shuffle
+    partitions.  Names of the documents' columns are free.
     """
     plan = plan_mix(docs, shards=shards, seed=seed, **options)
     id_col, text_col, source_col = (options.get(c, c[:-4] if c != "id_col" else "doc_id") for c in ("id_col", "text_col", "source_col"))
-    chosen = plan.where("takes > 0").select(F.col("place").alias("__p"), F.col("placements").alias("__t")).dropDuplicates(["__p"])
-    rows = docs.withColumn("__p", _place(seed, id_col, text_col, source_col)).join(chosen, "__p")
-    rows = rows.select(*docs.columns, "__p", F.explode("__t").alias("__at"))
-    rows = rows.withColumn("__shard", F.col("__at.shard")).withColumn("__key", F.xxhash64(F.lit(seed + 2), "__p", "__at.turn"))
-    rows = rows.withColumn("__range", F.shiftright("__key", 61))
-    return rows.repartition("__shard", "__range").sortWithinPartitions("__shard", "__key").select(*docs.columns)
+    chosen = plan.where("takes > 0").select(F.col("place").alias("p"), F.col("placements").alias("t")).dropDuplicates(["p"])
+    rows = docs.select(_place(seed, id_col, text_col, source_col).alias("p"), F.struct("*").alias("row")).join(chosen, "p")
+    rows = rows.select("row", "p", F.explode("t").alias("at"))
+    rows = rows.select("row", F.col("at.shard").alias("shard"), F.xxhash64(F.lit(seed + 2), "p", "at.turn").alias("key"))
+    bits = max(4, (4 * partitions(docs.sparkSession) // shards).bit_length())
+    rows = rows.withColumn("range", F.shiftright("key", 64 - bits))
+    return rows.repartition("shard", "range").sortWithinPartitions("shard", "key").select("row.*")
