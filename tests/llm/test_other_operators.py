@@ -122,6 +122,47 @@ def test_mix(make, words):
     assert mixing.plan_mix(make([])).count() == 0 and mixing.mix(make([])).count() == 0
 
 
+def test_mix_keeps_columns_whose_names_it_uses(spark, words):
+    names = ["p", "t", "row", "at", "shard", "key", "range", "takes", "placements", "__p"]
+    docs = spark.createDataFrame([(i, words(20) if i else words(40_000), "s", *names) for i in range(300)], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = mixing.mix(docs, shards=4)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert rows and all(list(r)[3:] == names for r in rows)
+
+
+def test_blocks_are_ranked_across_ranges(spark):
+    blocks = spark.range(5000).selectExpr("cast(id % 3 as int) k", "id block", "id % 17 block_size", "0D rest", "xxhash64(id % 4000) at")
+    got = mixing._ranked(blocks).collect()
+    by: dict = defaultdict(list)
+    at = {(r["k"], r["block"]): r["at"] for r in blocks.collect()}
+    for r in got:
+        by[r["k"]].append((at[r["k"], r["block"]], r["block"], r["rank"], r["upto"], r["block_size"]))
+    for rows in by.values():
+        rows.sort()
+        assert [r[2] for r in rows] == list(range(len(rows)))
+        assert [r[3] for r in rows] == np.cumsum([r[4] for r in rows]).tolist()
+
+
+@pytest.mark.parametrize("good,bad,n", [(30, 50, 20), (5, 200, 100), (400, 3, 390), (0, 9, 4), (9, 0, 4), (700, 700, 650)])
+def test_draws_follow_the_hypergeometric_law(good, bad, n):
+    from math import comb
+
+    support = range(max(0, n - bad), min(good, n) + 1)
+    total, upto = comb(good + bad, n), 0
+    for x in support:
+        low = upto / total
+        upto += comb(good, x) * comb(bad, n - x)
+        if upto / total - low > 1e-9:
+            assert mixing.inverse_draw((low + upto / total) / 2, good, bad, n) == x
+
+
+def test_draws_beyond_numpys_limit():
+    quotas = mixing.split_quotas([3 * 10**9, 7 * 10**9], 8)
+    assert quotas.sum(axis=0).tolist() == [3 * 10**9, 7 * 10**9] and np.ptp(quotas.sum(axis=1)) <= 1
+    assert np.abs(quotas[:, 0] - 375_000_000).max() < 12 * (10**9 * 0.21) ** 0.5
+
+
 def spans_by_hand(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
@@ -171,15 +212,80 @@ def test_network_learns_the_forms(words):
     rng = random.Random(10)
     texts = [personal(rng, words, i) for i in range(500)]
     sampled = [r for b in pii._sampler([pa.RecordBatch.from_arrays([pa.array(texts[:400])], names=["t"])]) for r in b.to_pylist()]
-    codes, tags = (np.zeros((len(sampled), pii.WINDOW), np.int64) for _ in range(2))
-    for k, r in enumerate(sampled):
-        codes[k, : len(r["part"])] = pii._codes(r["part"])
-        tags[k, : len(r["part"])] = np.frombuffer(r["tags"], np.int8)
-    model = pii.train(codes, tags, epochs=10)
+    model = pii.train(*pii.arrays(sampled), epochs=10)
     unseen = texts[400:]
     got = pii.added_spans(model, unseen, [[] for _ in unseen])
-    hits = sum(spans_by_hand(t) == g for t, g in zip(unseen, got, strict=True))
-    assert hits >= 85
+    told = [(spans_by_hand(t), g) for t, g in zip(unseen, got, strict=True) if spans_by_hand(t)]
+    assert len(told) >= 75 and sum(a == b for a, b in told) >= 0.85 * len(told)
+    # a word that ends in digits ahead of a card hides it from the forms, not from the network
+    hidden = [(t, g) for t, g in zip(unseen, got, strict=True) if not spans_by_hand(t)]
+    assert sum(any("4111 1111 1111 1111" in t[a:b] for a, b, _ in g) for t, g in hidden) >= 0.8 * len(hidden)
+
+
+def test_rewritten_spans():
+    for kind, found in (("email", "a.b@mail1.example.com"), ("ip", "10.200.3.44"), ("card", "4111 1111 1111 1111"), ("phone", "+1 (212) 555-0000"), ("phone", "+12125550000")):
+        assert spans_by_hand(found)[0][2] == kind
+        for pick in range(500):
+            other = pii.rewritten(found, kind, pick)
+            # past the forms, except that a part of a spelled-out address may still be one
+            assert kind not in [s[2] for s in spans_by_hand(other) if s[0] == 0], other
+            if kind == "ip":
+                assert re.findall("[0-9]+", other) == ["10", "200", "3", "44"]
+            if kind == "phone":
+                assert re.sub("[^0-9]", "", other).lstrip("0") == "12125550000"
+            if kind == "card":
+                assert sum(x != y for x, y in zip(re.sub("[^0-9]", "", other), "4111111111111111", strict=True)) == 1
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def varied(rng, i):
+    """A text with personal data of many layouts, past the forms from 500 on."""
+    digits = "".join(rng.choice("0123456789") for _ in range(15))
+    check = next(d for d in "0123456789" if pii_spans.luhn(digits + d))
+    found = [f"{prose(rng, 1)}.{i}@mail{i % 7}.example.com", ".".join(str(rng.randrange(256)) for _ in range(4)), digits + check, f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"][i % 4]
+    if i >= 500:
+        found = pii.rewritten(found, pii.KINDS[i % 4], rng.randrange(10_000))
+    ws = prose(rng, 40).split()
+    at = rng.randrange(40)
+    before = len(" ".join(ws[:at])) + (at > 0)
+    return " ".join([*ws[:at], found, *ws[at:]]), (before, before + len(found), pii.KINDS[i % 4])
+
+
+def test_network_adds_spans_past_the_forms(make):
+    rng = random.Random(12)
+    full = [varied(rng, i) for i in range(700)]
+    docs = [(i, t) for i, (t, _) in enumerate(full)] + [(1000, prose(rng, 50)), (1001, "call 12 of 99 on 4 and 1234567 at noon"), (1002, None), (1003, "")]
+    docs += [(2000 + i, f"{prose(rng, 30)} {rng.randrange(10**rng.randint(1, 10))} {prose(rng, 30)}") for i in range(1200)]
+    got = {r["doc_id"]: [tuple(s) for s in r["added"]] for r in pii.find(make(docs)).collect()}
+    hits = [any(k == kind and 2 * (min(b, y) - max(a, x)) >= b - a for x, y, k in got[i]) for i, (_, (a, b, kind)) in enumerate(full) if i >= 500]
+    wrong = [i for i in range(500) if got[i]]
+    # every seventh window without a labelled span holds one that is past the forms
+    assert sum(hits) >= 0.5 * len(hits) and len(wrong) <= 5, (sum(hits), len(wrong))
+    assert not any(got[i] for i in range(1000, 1004)) and sum(bool(got[i]) for i in range(2000, 3200)) <= 12
+    for i, t in docs:
+        for x, y, _ in got[i]:  # no number is cut
+            assert not (x and t[x - 1].isdigit() and t[x].isdigit()) and not (y < len(t) and t[y - 1].isdigit() and t[y].isdigit())
+
+
+def test_network_measured_on_windows_kept_from_the_fit(make):
+    rng = random.Random(13)
+    docs = make([(i, varied(rng, i % 500)[0]) for i in range(900)] + [(2000 + i, f"{prose(rng, 30)} {rng.randrange(10**rng.randint(1, 10))} {prose(rng, 30)}") for i in range(200)])
+    fitted, kept = pii.sample(docs), pii.sample(docs, held_out=True)
+    assert not {r["part"] for r in fitted} & {r["part"] for r in kept}
+    found = pii.measure(pii.learn(fitted), kept)
+    assert all(found[f"{k}/{form}"][0] >= 10 for k in pii.KINDS for form in ("plain", "rewritten"))
+    assert sum(v[1] for v in found.values()) >= 0.9 * sum(v[0] for k, v in found.items() if k != "none/plain")
+    assert sum(v[2] for v in found.values()) <= 3
+
+
+def test_network_sample_counts_copies_once(make):
+    rng = random.Random(14)
+    texts = [varied(rng, i)[0] for i in range(40)]
+    once = pii.sample(make(list(enumerate(texts))))
+    assert once == pii.sample(make([(i, texts[i % 40 if i % 3 else 0]) for i in range(900)]))
 
 
 def test_network_gradients():

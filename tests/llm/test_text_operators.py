@@ -1,8 +1,9 @@
 """The operators on texts, against plain versions on small tables."""
 
-import hashlib
+import math
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -372,5 +373,64 @@ def test_ftrl_is_sparse():
     assert len(cells) < 200 and weights[cells == 7][0] == weights.max()
 
 
-def test_kept_digest():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_toxicity_features_one_by_one():
+    def plain(text):
+        mask = (1 << 64) - 1
+        cores = [w.strip(string.punctuation).lower() for w in text.split()]
+        h = [xxhash.xxh64_intdigest(c.encode()) | 1 for c in cores if c]
+        grams = list(h)
+        for gap, mark in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
+            grams += [((a * mark) & mask) ^ ((b + (mark >> 7)) & mask) for a, b in zip(h, h[gap:], strict=False)]
+        return {(((g ^ (g >> 29)) * 0xBF58476D1CE4E5B9) & mask) >> 42 for g in grams}
+
+    given = ["You are, an IDIOT!", "", "one", "a a a a", "... !!! x", "Größe (über) alles"]
+    cells, docs = toxicity._grams(given)
+    assert [set(cells[docs == k].tolist()) for k in range(len(given))] == [plain(t) for t in given]
+
+
+def test_ftrl_equals_the_plain_one():
+    """The textbook update, a dictionary entry a coordinate."""
+    rng = np.random.default_rng(2)
+    sets = [np.unique(np.append(rng.integers(100, 400, 12), np.full(i % 2, 7))) for i in range(120)]
+    labels = np.arange(120) % 2
+    ftrl = toxicity.Ftrl(l1=0.5, passes=2)
+    cells, weights, bias = ftrl.fit(sets, labels)
+    z, n, b, bn = defaultdict(float), defaultdict(float), 0.0, 0.0
+
+    def weight(c):
+        if abs(z[c]) <= ftrl.l1:
+            return 0.0
+        return -math.copysign(abs(z[c]) - ftrl.l1, z[c]) / ((ftrl.beta + math.sqrt(n[c])) / ftrl.alpha + ftrl.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for i in order.permutation(120).tolist():
+            ws = {c: weight(c) for c in sets[i].tolist()}
+            g = 1 / (1 + math.exp(-(b + sum(ws.values())))) - labels[i]
+            for c, w in ws.items():
+                sigma = (math.sqrt(n[c] + g * g) - math.sqrt(n[c])) / ftrl.alpha
+                z[c], n[c] = z[c] + g - sigma * w, n[c] + g * g
+            bn += g * g
+            b -= 0.05 * g / math.sqrt(1 + bn)
+    want = {c: w for c in z if (w := weight(c))}
+    assert dict(zip(cells.tolist(), weights.tolist(), strict=True)) == pytest.approx(want, rel=1e-5) and bias == pytest.approx(b)
+
+
+def test_toxicity_scores_refer_to_the_labels_own_mix(make, words, spark, monkeypatch):
+    """Odd rows too: repeated and contradicting labels, equal texts, a very long text."""
+    rng = random.Random(8)
+    docs = [(i, words(30, 60) + (" moron" if i % 10 == 0 and rng.random() < 0.7 else "")) for i in range(1500)]
+    docs += [(2000, words(100_000)), (2001, docs[0][1]), (2001, docs[0][1]), (2002, "")]
+    labels = [(i, int(i % 10 == 0)) for i in range(1500)] + [(0, 1), (0, 0), (2001, 1), (2000, 0), (None, 1)]
+    given = spark.createDataFrame(labels, "doc_id long, label int")
+    whole = {r["doc_id"]: r["score"] for r in toxicity.score(make(docs), given).collect()}
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 150)
+    some = {r["doc_id"]: r["score"] for r in toxicity.score(make(docs), given).collect()}
+    assert toxicity.rate_shift(151, 1352) == pytest.approx(math.log(1352 / 150))
+    assert toxicity.rate_shift(0, 0) == 0 and whole[2001] == pytest.approx(whole[0])
+    clean = [i for i in range(1500) if i % 10]
+    for scores in (whole, some):  # as rare in the scores, whether or not the other class was drawn from
+        assert np.mean([scores[i] for i in clean]) <= 0.15 and sum(scores[i] >= 0.5 for i in clean) <= 0.01 * len(clean)
+        assert np.mean([scores[i] >= 0.5 for i, t in docs[:1500] if t.endswith("moron")]) >= 0.95
+    *_, bias = toxicity.fit(toxicity.sample(make(docs), given, "doc_id", "text"))
+    assert some[2002] == pytest.approx(1 / (1 + math.exp(math.log(1352 / 150) - bias)))
