@@ -63,7 +63,8 @@ def test_removal_intervals_are_maximal(make, words):
 
 
 def test_sentencepiece_equals_the_library(make, texts):
-    spm = pytest.importorskip("sentencepiece")
+    import sentencepiece as spm
+
     path = queries.tokenizer_path("piece_bpe_32k.model")
     sp = spm.SentencePieceProcessor(model_file=path)
     more = [(100, "a ▁b  ▁"), (101, "日本語 😀\x00"), (102, "   "), (103, "<s> </s> <0x41>")]
@@ -74,7 +75,8 @@ def test_sentencepiece_equals_the_library(make, texts):
 
 
 def test_sentencepiece_on_random_strings():
-    spm = pytest.importorskip("sentencepiece")
+    import sentencepiece as spm
+
     path = queries.tokenizer_path("piece_bpe_32k.model")
     sp, rng = spm.SentencePieceProcessor(model_file=path), random.Random(8)
     with open(path, "rb") as f:
@@ -303,7 +305,8 @@ def test_quality_threshold_follows_the_labels(make, words, spark):
 
 
 def test_token_records_round_trip(make, texts, spark, tmp_path):
-    tokenizers = pytest.importorskip("tokenizers")
+    import tokenizers
+
     path = queries.tokenizer_path("word_bpe_49k.json")
     full = tokenizers.Tokenizer.from_file(path)
     docs = texts + [(500, "It's <|endoftext|> A<|STARTOFTEXT|>b éÉ ÀÖß ﬁne 12.5%% x"), (501, "Hello, WORLD!! naïve—dash")]
@@ -323,8 +326,26 @@ def test_token_records_round_trip(make, texts, spark, tmp_path):
     assert token_records.read_records(spark, f"file://{tmp_path}/none", empty).count() == 0
 
 
+def test_token_records_of_a_large_vocabulary(make, spark, tmp_path):
+    """Ids beyond two bytes: the manifest has the width that the files are written with."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    names = [f"t{i}" for i in range(70_000)]
+    made = Tokenizer(models.WordLevel({w: i for i, w in enumerate(names)}, unk_token="t0"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(str(tmp_path / "large.json"))
+    docs = make([(1, "t69999 t5 t65536"), (2, None), (3, "t2 t66000")])
+    folder = f"file://{tmp_path}/large"
+    manifest = token_records.write_records(docs, folder, str(tmp_path / "large.json"))
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"], np.frombuffer(r["ids"], f"<u{r['width']}").tolist()) for r in token_records.read_records(spark, folder, manifest).collect())
+    assert got == [(1, 0, 4, [69999, 5, 65536, 1]), (2, 4, 1, [1]), (3, 5, 3, [2, 66000, 1])]
+    sums = {r["doc_id"]: r["ids_crc32"] for r in token_records.digests(spark, folder, manifest).collect()}
+    assert sums[1] == zlib.crc32(np.array([69999, 5, 65536, 1], "<u4").tobytes())
+
+
 def test_decomposed_capitals_get_the_tokenizers_ids():
-    tokenizers = pytest.importorskip("tokenizers")
+    import tokenizers
+
     path = queries.tokenizer_path("word_bpe_49k.json")
     full, encoder = tokenizers.Tokenizer.from_file(path), token_records.WordEncoder(path)
     texts = ["J\u030c", "T\u0308 Plain Words", "see H\u0331 and W\u030a", "E\u0301COLE", "ÀÖ J\u030cK", "PLAIN Ascii"]

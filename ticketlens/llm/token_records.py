@@ -32,8 +32,8 @@ END_ID = 1
 _CACHE_WORDS = 400_000
 _READ_BYTES = 1 << 22
 
-_MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long"
-_READ = "doc_id long, start long, n_tokens long, ids binary"
+_MANIFEST = "part int, file string, n_docs long, n_tokens long, n_bytes long, width int"
+_READ = "doc_id long, start long, n_tokens long, ids binary, width int"
 
 
 def _crc_table() -> np.ndarray:
@@ -216,7 +216,7 @@ _INDEX_ROW = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<i8"), ("s
 def _writer(folder: str, path: str, end_id: int, by_word: bool, docs_at_once: int = 512):
     from pyspark import TaskContext
 
-    schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64())])
+    schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("width", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -248,7 +248,7 @@ def _writer(folder: str, path: str, end_id: int, by_word: bool, docs_at_once: in
         data.close(), index.close()
         fs.move(f"{own}.idx", f"{name}.idx")
         fs.move(f"{own}.bin", f"{name}.bin")
-        yield pa.RecordBatch.from_pylist([{"part": part, "file": f"part-{part:06d}", "n_docs": n_docs, "n_tokens": n_tokens, "n_bytes": offset}], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"part": part, "file": f"part-{part:06d}", "n_docs": n_docs, "n_tokens": n_tokens, "n_bytes": offset, "width": width}], schema=schema)
 
     return run
 
@@ -265,9 +265,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "d
     return docs.sparkSession.createDataFrame(sorted(made), _MANIFEST)
 
 
-def _reader(folder: str, dtype: str):
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-    width = np.dtype(dtype).itemsize
+def _reader(folder: str):
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("width", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _store(folder)
@@ -275,7 +274,7 @@ def _reader(folder: str, dtype: str):
             for row in batch.to_pylist():
                 with fs.open_input_file(f"{root}/{row['file']}.idx") as f:
                     index = np.frombuffer(f.read(), _INDEX_ROW)
-                tokens = index["size"] // width
+                tokens = index["size"] // row["width"]
                 starts = row["base"] + np.cumsum(tokens) - tokens
                 spans = index["offset"] + index["size"] + 16
                 with fs.open_input_file(f"{root}/{row['file']}.bin") as f:
@@ -288,31 +287,32 @@ def _reader(folder: str, dtype: str):
                         blob = f.read(int(spans[upto - 1]) - low)
                         payloads = unframe(blob, (some["offset"] - low).tolist(), some["size"].tolist())
                         ids = pa.array(some["doc_id"], mask=some["null"].astype(bool))
-                        yield pa.RecordBatch.from_arrays([ids, pa.array(starts[at:upto]), pa.array(tokens[at:upto]), pa.array(payloads, pa.binary())], schema=schema)
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(starts[at:upto]), pa.array(tokens[at:upto]), pa.array(payloads, pa.binary()), pa.array(np.full(len(some), row["width"], np.int32))], schema=schema)
                         at = upto
 
     return run
 
 
-def read_records(spark: SparkSession, folder: str, manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
-    """doc_id, start (ids of all records before it), n_tokens, ids (binary) of every record in the files."""
+def read_records(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
+    """doc_id, start (ids of all records before it), n_tokens, ids (binary), width (bytes of an id) of every record in the files."""
     rows = sorted(manifest.collect())  # one row per file
     base, files = 0, []
     for r in rows:
-        files.append((len(files), r["file"], base))
+        files.append((len(files), r["file"], base, r["width"]))
         base += r["n_tokens"]
     if not files:
         return spark.createDataFrame([], _READ)
-    listed = spark.createDataFrame(files, "n int, file string, base long")
-    return listed.repartitionById(len(files), F.col("n")).mapInArrow(_reader(folder, dtype), _READ)
+    listed = spark.createDataFrame(files, "n int, file string, base long, width int")
+    return listed.repartitionById(len(files), F.col("n")).mapInArrow(_reader(folder), _READ)
 
 
-def digests(spark: SparkSession, folder: str, manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
+def digests(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (of the ids as little-endian uint32) of the files' records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(b.as_buffer(), dtype).astype("<u4").tobytes()) for b in batch.column(3)]
+            widths = batch.column(4).to_pylist()
+            sums = [zlib.crc32(np.frombuffer(b.as_buffer(), f"<u{w}").astype("<u4").tobytes()) for b, w in zip(batch.column(3), widths, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_records(spark, folder, manifest, dtype).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_records(spark, folder, manifest).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
