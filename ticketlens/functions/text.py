@@ -44,6 +44,20 @@ REPLACEMENT_CHAIN = (
     (SPACE_RUN_PATTERN, " "),
 )
 
+# The same rules in the form the Spark plans run, linear in the text. A run without white
+# space is an e-mail if an "@" lies between its first and its last word character;
+# what is neither letter nor number ends up as single blanks.
+EMAIL_RUN_PATTERN = (
+    rf"(?<![^{WHITESPACE_CLASS}])([^{WORD_CLASS}{WHITESPACE_CLASS}]*+)"
+    rf"[{WORD_CLASS}][^{WHITESPACE_CLASS}@]*+@[^{WHITESPACE_CLASS}]*[{WORD_CLASS}]"
+)
+GAP_PATTERN = r"[^\p{L}\p{N}]+"
+# Every character of the white-space class.
+WHITESPACE_CHARS = "".join(
+    chr(c)
+    for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
+
 UNKNOWN_LANGUAGE = "unknown"
 MIN_TOKEN_CHARS = 2
 
@@ -67,7 +81,7 @@ def nfkc(text: Column) -> Column:
 
 def unicode_strip(col: Column) -> Column:
     """Python ``str.strip()``: removes Unicode white space at both ends."""
-    return F.regexp_replace(col, EDGE_SPACE_PATTERN, "")
+    return F.btrim(col, F.lit(WHITESPACE_CHARS))
 
 
 def text_or_empty(col: Column) -> Column:
@@ -97,13 +111,18 @@ def normalize_chars(text: Column, use_nfkc: bool = True) -> Column:
     """NFKC → lower → url / email / number masks → punctuation → collapse → strip."""
     out = text_or_empty(text)
     out = nfkc(out) if use_nfkc else out
-    out = F.lower(out)
-    for pattern, replacement in REPLACEMENT_CHAIN:
-        out = F.regexp_replace(out, pattern, replacement)
+    # one-argument lambdas bind each step once: a guard that reads a step does not run it again
+    out = _bind(F.lower(out), lambda t: F.when(t.contains("http") | t.contains("www."), F.regexp_replace(t, URL_PATTERN, " url ")).otherwise(t))
+    out = _bind(out, lambda t: F.when(t.contains("@"), F.regexp_replace(t, EMAIL_RUN_PATTERN, "$1 email ")).otherwise(t))
+    out = F.regexp_replace(F.regexp_replace(out, NUMBER_PATTERN, " number "), GAP_PATTERN, " ")
     # only single ASCII spaces are left, so the plain trim is exact here
     return F.trim(out)
 
 
+def _bind(value: Column, step) -> Column:
+    return F.transform(F.array(value), step)[0]
+
+
 def split_words(clean: Column) -> Column:
     """Split normalised text on single spaces; '' → empty array."""
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
