@@ -1,6 +1,7 @@
 """The distributed solver: derivatives by differences, optimum of a plain objective, the limit."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
@@ -83,3 +84,69 @@ def test_evaluations_run_on_the_cores(spark):
     value, grad = so.evaluate(df, shared, {0: np.zeros((1, 9001))})[0]
     assert value == pytest.approx(np.log(2)) and grad[0, 4000:9000].any() == 0 and np.abs(grad[0, :4000]).min() > 0
     assert df.coalesce(spark.sparkContext.defaultParallelism).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("kind, positive", [("softmax", (0, 1, 2)), ("logistic", (1,)), ("squared_hinge", (0, 1, 2))])
+def test_wide_fit_stops_at_a_minimum(spark, kind, positive):
+    """Coefficients that stay with the features: the gradient of the plain objective is within the tolerance there."""
+    rng = np.random.default_rng(5)
+    rows = [(10 * i, _random_row(rng), int(rng.integers(0, 3))) for i in range(60)] + [(7, Vectors.sparse(6, [], []), 1)]
+    df = spark.createDataFrame(rows, ["_row", "features", "label_id"]).repartition(3).persist()
+    k = len(positive)
+    loss = so.Loss(kind, positive, (1 / 61,) * k, (0.0 if kind == "softmax" else 1 / 61,) * k, (0.05,) * k)
+    table, intercepts, _, converged = so.fit_wide(df, loss, 1e-3, 500, "_row")
+    w = np.zeros((k, 7))
+    for r in table.collect():
+        w[:, r["feature_id"]] = r["coefs"]
+    w[:, -1] = intercepts
+    x = np.array([[*r[1].toArray(), 1.0] for r in rows])
+    y = np.array([r[2] for r in rows])
+
+    def gradient(at):
+        value, slope = loss.at(x @ at.T, y)
+        return np.abs(so._penalised(loss, at, value, slope.T @ x)[1]).max()
+
+    limit = 1e-3 * (gradient(np.zeros((k, 7))) if kind == "squared_hinge" else 1)
+    assert converged and gradient(w) <= 1.0001 * limit
+
+
+def _random_row(rng):
+    at = sorted(set(rng.integers(0, 6, 3).tolist()))
+    return Vectors.sparse(6, at, rng.random(len(at)).tolist())
+
+
+def test_an_intercept_that_bends_the_loss_most_costs_few_steps():
+    rng = np.random.default_rng(2)
+    x = np.hstack([rng.random((400, 300)) * (rng.random((400, 300)) < 0.03), np.ones((400, 1))])
+    x[:, :-1] /= np.maximum(np.linalg.norm(x[:, :-1], axis=1, keepdims=True), 1e-9)
+    y = (rng.random(400) < 0.85).astype(int)
+    loss = so.Loss("squared_hinge", (1,), (1 / 400,), (5 / 400,), (2e-5,))
+
+    def evaluations():
+        running, asked = so.lbfgs(np.zeros((1, 301)), 1e-3, 2000, True), 0
+        point = next(running)
+        while True:
+            asked += 1
+            value, slope = loss.at(x @ point.T, y)
+            try:
+                point = running.send(so._penalised(loss, point, value, slope.T @ x))
+            except StopIteration as done:
+                assert done.value[2]
+                return asked
+
+    few = evaluations()
+    guess, so._first_guess = so._first_guess, lambda vector: vector.copy()
+    try:
+        assert few < 0.8 * evaluations()
+    finally:
+        so._first_guess = guess
+
+
+def test_long_batches_are_added_in_pieces(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"fold": pa.array([1, 2, 1, 1], pa.int32()), "y": pa.array([0, 1, 1, 0], pa.int32()), "idx": pa.array([[0, 1], [], [0, 1, 2, 3], [3]], pa.list_(pa.int32())), "val": pa.array([[0.5, 1.0], [], [1.0, 2.0, 3.0, 4.0], [2.0]])})
+    loss = so.Loss("logistic", (1,), (0.25,), (0.25,), (0.1,))
+    whole, cut = (so._Partial([so.Problem(loss)], [np.full((1, 5), 0.1)]) for _ in range(2))
+    whole.add(batch)
+    monkeypatch.setattr(so, "PIECE", 3)
+    cut.add_pieces(batch)
+    assert cut.values == pytest.approx(whole.values) and cut.grads == pytest.approx(whole.grads)
