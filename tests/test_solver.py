@@ -122,8 +122,8 @@ def test_an_intercept_that_bends_the_loss_most_costs_few_steps():
     y = (rng.random(400) < 0.85).astype(int)
     loss = so.Loss("squared_hinge", (1,), (1 / 400,), (5 / 400,), (2e-5,))
 
-    def evaluations():
-        running, asked = so.lbfgs(np.zeros((1, 301)), 1e-3, 2000, True), 0
+    def evaluations(bend):
+        running, asked = so.lbfgs(np.zeros((1, 301)), 1e-3, 2000, True, bend), 0
         point = next(running)
         while True:
             asked += 1
@@ -134,12 +134,8 @@ def test_an_intercept_that_bends_the_loss_most_costs_few_steps():
                 assert done.value[2]
                 return asked
 
-    few = evaluations()
-    guess, so._first_guess = so._first_guess, lambda vector: vector.copy()
-    try:
-        assert few < 0.8 * evaluations()
-    finally:
-        so._first_guess = guess
+    assert so.intercept_curvature(ml.NUM_FEATURES) == 100 and so.intercept_curvature(5) == 1
+    assert evaluations(100.0) < 0.8 * evaluations(1.0)
 
 
 def test_long_batches_are_added_in_pieces(monkeypatch):
