@@ -112,3 +112,41 @@ def test_files_that_lack_columns(spark, tmp_path):
     rows.drop("body").write.parquet(path + "2")
     with pytest.raises(KeyError, match="body"):
         tk.read_tickets(spark, path + "2", tk.REQUEST_SCHEMA)
+
+
+def test_texts_are_counted_an_id_at_a_time(spark, monkeypatch):
+    """The counts of the n-gram arrays, with repeated and null ids and ids counted a part of their terms at a time."""
+    from ticketlens.operators import prepare as pr
+
+    texts = [(1, "ab c ab ab"), (1, "ab ab"), (2, ""), (3, None), (None, "xy zz"), (None, "zz xy"), (4, "aa bb cc dd " * 40)]
+    df = spark.createDataFrame([(i, None, t, "zz") for i, t in texts], "id long, subject string, body string, language string")
+    prepared = pr.prepare_tickets(df, partition_by="id", partitions=3)
+    expected = {(r.id, r.term): r.tf for r in fe.term_frequency(pr.with_grams(prepared)).collect()}
+    for chars in (1 << 23, 50):
+        monkeypatch.setattr(fe, "CHARS", chars)
+        got = fe.text_term_frequency(prepared).collect()
+        assert {(r.id, r.term): r.tf for r in got} == expected and len(got) == len(expected)
+    kept = fe.text_term_frequency(prepared, keep=("language",), outer=True).collect()
+    assert {(r.id, r.language) for r in kept if r.term is None} == {(2, "zz"), (3, "zz")} and len(kept) == len(expected) + 2
+
+
+def test_pairs_are_exchanged_once(spark, sf_dir):
+    """The document frequencies and the join with them read one exchange of the pairs."""
+    import __spark_entry__ as entry
+
+    for name in ("tfidf_l2", "top2_margin"):
+        df = entry.queries()[name](spark, sf_dir)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("\n+- == Initial Plan ==")[0]
+        assert final.count("MapInArrow") == 1 and "ReusedExchange" in final
+
+
+def test_partitions_follow_the_text_not_its_stored_size(spark, tmp_path):
+    """A text stored once and repeated takes as many partitions as so many texts."""
+    from ticketlens import session
+    from ticketlens.plans import views
+
+    text = "a printer is broken " * 500
+    spark.range(2000).selectExpr("id AS doc_id", f"'{text}' AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert views.text_pieces(spark, str(tmp_path)) >= 2000 * len(text) // session.TEXT_BYTES > 2

@@ -18,8 +18,7 @@ def top_terms_per_language(spark: SparkSession, d: str, k: int = TOP_TERMS) -> D
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so each task forwards at most k rows per language.
     """
-    tf = V.term_frequency(spark, d)
-    idf = fe.idf_table(tf, fe.corpus_size(V.tickets(spark, d, False)))
+    tf, idf = V.weighted_terms(spark, d)
     weights = fe.tfidf_l2(tf, idf)
     langs = V.tickets(spark, d, False).select("id", tx.language_for_slices(F.col("language")).alias("language"))
     per_lang = weights.join(langs, "id").groupBy("language", "term").agg(F.round(F.sum("weight"), 6).alias("weight"))
