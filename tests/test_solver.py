@@ -146,3 +146,22 @@ def test_long_batches_are_added_in_pieces(monkeypatch):
     monkeypatch.setattr(so, "PIECE", 3)
     cut.add_pieces(batch)
     assert cut.values == pytest.approx(whole.values) and cut.grads == pytest.approx(whole.grads)
+
+
+def test_packed_rows_give_the_evaluation_of_the_rows(spark, monkeypatch):
+    """Scales, folds, empty rows and values that single precision cannot hold; added up by reducers or by the driver."""
+    rng = np.random.default_rng(5)
+    made = [(int(i % 3), int(i % 2), sorted(map(int, rng.choice(9000, i % 7, replace=False)))) for i in range(40)]
+    rows = [(f, y, idx, [float(v) for v in rng.random(len(idx)) + 0.1]) for f, y, idx in made]
+    df = spark.createDataFrame(rows, "fold int, y int, idx array<int>, val array<double>").repartition(3)
+    loss = so.Loss("logistic", (1,), (0.05,), (0.05,), (0.1,))
+    shared = spark.sparkContext.broadcast([so.Problem(loss), so.Problem(loss, 1, rng.random(9000))])
+    asked = {m: rng.random((1, 9001)) for m in (0, 1)}
+    expected = so.evaluate(df, shared, asked)
+    packed = so.packed_rows(df, shared)
+    for direct in (1 << 26, 0):
+        monkeypatch.setattr(so, "DIRECT", direct)
+        got = so.evaluate(packed, shared, asked)
+        for m in asked:
+            assert got[m][0] == pytest.approx(expected[m][0]) and np.allclose(got[m][1], expected[m][1], atol=1e-6)
+    assert set(so.evaluate(packed, shared, {1: asked[1]})) == {1}
