@@ -116,3 +116,18 @@ def test_fold_scales_are_those_of_the_training_sides(spark, smoke):
         own = Pipeline(stages=[ml.SmoothIdf(inputCol="tf", outputCol="x")]).fit(tf.where(F.col("fold") != k)).stages[0]
         assert abs(own.getScalingVec().toArray() - scales[k]).max() < 1e-12
     assert (scales[1] != scales[2]).any()
+
+
+def test_fits_keep_no_rows_in_the_executors_heaps(spark, smoke, monkeypatch):
+    """The n-grams are not cached, counts and packed rows lie on disk; folds are read one by one."""
+    from pyspark import RDD
+
+    levels, held = [], RDD.persist
+    monkeypatch.setattr(RDD, "persist", lambda self, level: levels.append(level) or held(self, level))
+    monkeypatch.setattr(type(smoke), "persist", lambda self, *a: pytest.fail("a table is cached"))
+    ml.fit_task(smoke, "queue", "logreg", num_features=1 << 10)
+    folded = fo.stratified_folds(smoke, "id", ["queue", "priority"], n_splits=3)
+    ml.cross_validate(pr.with_grams(pr.prepare_tickets(folded, partition_by="id")), "priority", "logreg", n_folds=3, num_features=1 << 10)
+    assert len(levels) == 2 and not any(level.useMemory for level in levels)
+    counts = ml.written_counts(smoke.selectExpr("id", "cast(id % 3 as int) as fold"), "fold")
+    assert len(counts.where("fold = 1").inputFiles()) >= 1 and sorted(r.id for r in counts.where("fold = 1").collect()) == list(range(1, 30, 3))

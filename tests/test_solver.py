@@ -165,3 +165,50 @@ def test_packed_rows_give_the_evaluation_of_the_rows(spark, monkeypatch):
         for m in asked:
             assert got[m][0] == pytest.approx(expected[m][0]) and np.allclose(got[m][1], expected[m][1], atol=1e-6)
     assert set(so.evaluate(packed, shared, {1: asked[1]})) == {1}
+
+
+def test_long_rows_of_many_columns_give_the_plain_sums(monkeypatch):
+    """Rows taken one by one, all models' columns at once, in single precision for a while: the gradient of dense numpy."""
+    rng = np.random.default_rng(9)
+    x = rng.integers(1, 4, (30, 70000)) * (rng.random((30, 70000)) < 0.002)
+    fold, y = rng.integers(1, 3, 30), rng.integers(0, 3, 30)
+    loss = so.Loss("squared_hinge", (0, 1, 2), (0.1,) * 3, (0.05,) * 3, (0.1,) * 3)
+    problems = [so.Problem(loss, k, rng.random(70000)) for k in (1, 2)]
+    coefs = [rng.normal(size=(3, 70001)) for _ in problems]
+    sizes, idx = (x > 0).sum(axis=1), np.nonzero(x)[1]
+    val = x[x > 0].astype(float)
+    assert len(idx) >= so.LONG_ROWS * len(y) and sum(len(c) for c in coefs) >= so.WIDE_COLUMNS
+    monkeypatch.setattr(so, "RECENT", 2000)  # several times on the way
+    part = so._Partial(problems, coefs)
+    for some in (slice(0, 12), slice(12, 30)):
+        first, last = sizes[: some.start].sum(), sizes[: some.stop].sum()
+        lengths = so._lengths(problems, idx[first:last], val[first:last], sizes[some])
+        part.add_rows(fold[some], y[some], sizes[some], idx[first:last], val[first:last], lengths)
+    part.settle()
+    for m, (p, w) in enumerate(zip(problems, coefs, strict=True)):
+        v = x * p.scale / np.linalg.norm(x * p.scale, axis=1, keepdims=True)
+        value, slope = loss.at(v @ w[:, :-1].T + w[:, -1], y, fold != p.without)
+        assert part.values[m] == pytest.approx(value, rel=1e-5)
+        own = part.grads[:-1, 3 * m : 3 * m + 3] * p.scale[:, None]
+        assert np.allclose(own, v.T @ slope, atol=1e-5 * np.abs(v.T @ slope).max())
+
+
+def test_packed_counts_take_four_bytes_and_any_partitions(spark):
+    """Counts are packed in a third of what arrays take, and an evaluation has a task a core, however many partitions they have."""
+    df = spark.range(4000).selectExpr("1 as fold", "cast(id % 2 as int) as y", "sequence(0, 199000, 1000) as idx", "array_repeat(2.0d, 200) as val").repartition(30)
+    loss = ml.task_loss("logreg", "nominal", {0: 2000, 1: 2000}, 2)
+    shared = spark.sparkContext.broadcast([so.Problem(loss)])
+    packed = so.packed_rows(df, shared)
+    pieces = packed.collect()
+    assert packed.getNumPartitions() == 30 and sum(len(p[1]) + len(p[2]) + len(p[3]) for p in pieces) == 4 * 200 * 4000
+    value, grad = so.evaluate(packed, shared, {0: np.zeros((1, 200000))})[0]
+    assert value == pytest.approx(np.log(2)) and np.count_nonzero(grad[0, :-1]) in (0, 200)
+
+
+def test_ids_and_values_come_back_as_they_were():
+    for idx in ([], [0, 65535, 65536, (1 << 24) - 1], [1 << 24, (1 << 31) - 1]):
+        idx = np.array(idx, np.int32)
+        assert np.array_equal(so._ids(*so._packed_ids(idx)), idx)
+    for val, kind in (([1.0, 255.0], "u1"), ([256.0, 0.5], "f4"), ([-1.0], "f4"), ([0.1], "f8"), ([2.0**40 + 1], "f8"), ([float("inf")], "f4")):
+        held, of = so._packed_values(np.array(val))
+        assert of == kind and np.frombuffer(held, of).astype(float).tolist() == val
