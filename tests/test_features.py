@@ -150,3 +150,73 @@ def test_partitions_follow_the_text_not_its_stored_size(spark, tmp_path):
     text = "a printer is broken " * 500
     spark.range(2000).selectExpr("id AS doc_id", f"'{text}' AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     assert views.text_pieces(spark, str(tmp_path)) >= 2000 * len(text) // session.TEXT_BYTES > 2
+
+
+@pytest.fixture(scope="module")
+def odd_texts(spark):
+    """Prepared texts with repeated and null ids, without words, in other scripts and with a very long word."""
+    from ticketlens.operators import prepare as pr
+
+    texts = [(1, "ab c ab ab"), (1, "ab ab zz"), (2, ""), (3, None), (None, "xy zz"), (None, "zz xy"), (4, "aa bb cc dd " * 40), (0, "xy größe 数据 数据 ab"), (-7, "w" * 70000 + " ab")]
+    df = spark.createDataFrame([(i, None, t, "zz") for i, t in texts], "id long, subject string, body string, language string")
+    return pr.prepare_tickets(df, partition_by="id", partitions=3)
+
+
+def test_packed_pairs_give_the_relational_tables(spark, odd_texts):
+    tf = fe.text_term_frequency(odd_texts)
+    idf = fe.idf_table(tf, 9, max_df=0.3, totals=True)
+    packed = fe.packed_pairs(odd_texts, 5)
+    dfs = fe.packed_document_frequency(packed, 5)
+    assert sorted(map(tuple, dfs.collect())) == sorted(map(tuple, fe.document_frequency(tf, totals=True).collect()))
+    assert sorted(map(tuple, fe.idf_of(dfs, 9, max_df=0.3).collect())) == sorted(map(tuple, idf.collect()))
+    expected = {(r.id, r.term): (r.tf, r.weight) for r in fe.tfidf_l2(tf, idf).collect()}
+    rows = fe.packed_tfidf_l2(odd_texts, 9, 4, max_df=0.3).collect()
+    got = {(r.id, r.term): (r.tf, r.weight) for r in rows}
+    assert len(rows) == len(got) and got.keys() == expected.keys() and (None, "xy") in got and (1, "ab") not in got
+    assert all(got[k] == (expected[k][0], pytest.approx(expected[k][1], rel=1e-9)) for k in got)
+    vocabulary = fe.vocabulary_index(idf)
+    column = {r.term: r.feature_id for r in vocabulary.collect()}
+    rows = fe.packed_tfidf_l2(odd_texts, 9, 4, max_df=0.3, vocabulary=vocabulary).collect()
+    assert sorted((r.id or 0.5, r.feature_id) for r in rows) == sorted((i or 0.5, column[t]) for i, t in expected)
+    assert fe.packed_tfidf_l2(odd_texts.limit(0), 9, 4).count() == 0
+    some = vocabulary.where("term = 'xy'")
+    assert sorted((r.id or 0.5, r.feature_id) for r in fe.packed_tfidf_l2(odd_texts, 9, 4, max_df=0.3, vocabulary=some).collect()) == [(0.5, column["xy"])] * 2
+
+
+def test_packed_weights_by_label(spark):
+    """Sums by label equal the join of all pairs with their ids' rows, repeated, null and wordless ids included."""
+    from ticketlens.operators import prepare as pr
+
+    texts = [(1, "ab zz", "en"), (1, "ab", "de"), (1, "yy", "de"), (2, "", "fr"), (None, "xy zz", "en"), (4, "xy xy yy ab", "en"), (5, "ab qq", "es")]
+    df = spark.createDataFrame([(i, None, t, l) for i, t, l in texts], "id long, subject string, body string, language string")
+    prepared = pr.prepare_tickets(df, partition_by="id", partitions=3)
+    joined = fe.packed_tfidf_l2(prepared, 7, 4, max_df=3).join(df.select("id", "language"), "id")
+    expected = {(r.language, r.term): r.w for r in joined.groupBy("language", "term").agg(F.sum("weight").alias("w")).collect()}
+    sums = fe.packed_tfidf_l2(prepared, 7, 4, max_df=3, label="language").groupBy("language", "term").agg(F.sum("weight").alias("w"))
+    got = {(r.language, r.term): r.w for r in sums.collect()}
+    assert got.keys() == expected.keys() and ("de", "ab zz") in got and ("fr", "ab") not in got
+    assert all(got[k] == pytest.approx(expected[k]) for k in got)
+
+
+def test_packed_pairs_are_small(spark):
+    """A pair travels in a few bytes, its term included."""
+    import random
+
+    from ticketlens.operators import prepare as pr
+
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(3000)]
+    rows = [(i, None, " ".join(rng.choices(vocabulary, k=200)), "zz") for i in range(300)]
+    prepared = pr.prepare_tickets(spark.createDataFrame(rows, "id long, subject string, body string, language string"), partition_by="id", partitions=2)
+    sizes = fe.packed_pairs(prepared, 8).selectExpr("sum(n) n", "sum(length(ids) + length(lengths) + length(terms) + length(tf)) bytes").first()
+    assert sizes.n == fe.text_term_frequency(prepared).count() and sizes.bytes < 14 * sizes.n
+
+
+def test_vocabularies_are_not_checkpointed_as_rows(spark, sf_dir, monkeypatch):
+    """Exact vectors and vocabularies take packed pairs; sorted terms are written, not checkpointed."""
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda *a, **b: pytest.fail("a table is checkpointed"))
+    for name in ("vocabulary_index", "exact_vectors", "document_frequency", "idf_table", "top_terms_per_language"):
+        plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [term" not in plan

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import text as tx
-from ..operators import features as fe
 from . import views as V
 
 TOP_TERMS = 20
@@ -18,10 +16,7 @@ def top_terms_per_language(spark: SparkSession, d: str, k: int = TOP_TERMS) -> D
     ``row_number() <= k`` lets Spark insert a partial WindowGroupLimit before
     the shuffle, so each task forwards at most k rows per language.
     """
-    tf, idf = V.weighted_terms(spark, d)
-    weights = fe.tfidf_l2(tf, idf)
-    langs = V.tickets(spark, d, False).select("id", tx.language_for_slices(F.col("language")).alias("language"))
-    per_lang = weights.join(langs, "id").groupBy("language", "term").agg(F.round(F.sum("weight"), 6).alias("weight"))
+    per_lang = V.language_weights(spark, d).groupBy("language", "term").agg(F.round(F.sum("weight"), 6).alias("weight"))
     rank = F.row_number().over(Window.partitionBy("language").orderBy(F.col("weight").desc(), F.col("term")))
     return per_lang.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "language", F.col("rank").cast("int").alias("rank"), "term", "weight"
